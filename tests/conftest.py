@@ -35,6 +35,7 @@ Grey,Fir,Hazel
 def spark():
     from tracknet.plans.session import local_session
 
+    os.environ.setdefault("TRACKNET_WAREHOUSE", tempfile.mkdtemp(prefix="tracknet-wh-"))
     s = local_session(4, shuffle_partitions=4, driver_memory="4g", app="tracknet-tests")
     yield s
 

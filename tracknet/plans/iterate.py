@@ -9,25 +9,52 @@ returns a DataFrame whose plan is a plain scan of it.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
-from tracknet.plans.session import ensure_checkpoint_dir
+from tracknet.plans.session import ensure_checkpoint_dir, scratch_path
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and return it with a fresh lineage.
+def cut(df: DataFrame, **metrics: Column):
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and return a frame that reads it back, so the next round's plan starts
+    from a scan instead of carrying every earlier round.
 
-    The frame is persisted first so that the checkpoint job reads the
-    computed blocks instead of evaluating the plan a second time.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``, so a
+    lost executor costs at most the current round. (Repeated
+    ``Dataset.checkpoint`` calls were measured to slow down round after round
+    in long loops; a written table does not, and its file sizes feed the
+    optimizer's join choice.)
+
+    With keyword ``metrics`` (name -> aggregate column) the aggregates are
+    computed by the write job itself through an ``Observation`` and returned
+    as a dict next to the frame, so a loop can test "nothing new" or "nothing
+    moved" without running another job.
     """
+    spark = df.sparkSession
+    path = scratch_path(spark, "round")
+    if metrics:
+        obs = Observation()
+        df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
+    df.write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    if not metrics:
+        return out
+    got = obs.get
+    return out, {k: (got.get(k) or 0) for k in metrics}
+
+
+def pin(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a loop-invariant input (an adjacency list) by ``keys``
+    once and checkpoint it with that partitioning, so the rounds that join
+    on ``keys`` do not shuffle it again."""
     ensure_checkpoint_dir(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out = df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-    return out
+    return df.repartition(*keys).checkpoint(eager=True)
+
+
+def rows() -> Column:
+    """Row-count metric for :func:`cut`."""
+    return F.count(F.lit(1))
 
 
 class LoopGuard:

@@ -116,6 +116,14 @@ def _reach(s, sf, max_hops=None, paths=False):
     return r.select(*cols)
 
 
+def shortest_path_pairs(s: SparkSession, sf: str) -> DataFrame:
+    """Route from one named station to every station of a zone, by name pairs."""
+    g = _g(s, sf)
+    pairs = g.nodes.filter(F.col("zone") == ZONE).select(
+        F.lit(NAMED_STATION).alias("from_name"), F.col("name").alias("to_name"))
+    return P.shortest_paths(g, pairs).select("from_name", "to_name", "hops", "route", "lines")
+
+
 def _zone_partition(g) -> DataFrame:
     return g.nodes.select("station_id", F.col("zone").alias("community"))
 
@@ -124,6 +132,7 @@ def _queries_graph() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     q["shortest_path_hops"] = lambda s, sf: _reach(s, sf)
     q["shortest_path_bounded"] = lambda s, sf: _reach(s, sf, BOUND)
+    q["shortest_path_pairs"] = shortest_path_pairs
     q["path_lines_used"] = lambda s, sf: _reach(s, sf, None, True)
     q["k_hop_neighbourhood"] = lambda s, sf: P.k_hop_neighbourhood(_g(s, sf), [NAMED_STATION], K_HOPS)
     q["trace_line"] = lambda s, sf: P.trace_line(_g(s, sf))
@@ -447,6 +456,22 @@ paths(s, v, hops, route, lines) AS (
          CASE WHEN p.lines = '' THEN t.line ELSE p.lines || '>' || t.line END
   FROM paths p JOIN tree t ON t.s = p.s AND t.p = p.v)
 SELECT s AS src_id, v AS dst_id, hops, route, lines FROM paths WHERE hops > 0""")
+    o["shortest_path_pairs"] = _wr(
+        ADJ_CTES + _walk_ctes(f"SELECT station_id FROM nodes WHERE name = '{NAMED_STATION}'") + """,
+pred AS (
+  SELECT d.s, d.v, min(x.a) AS p FROM dist d JOIN adj x ON x.b = d.v
+  JOIN dist e ON e.s = d.s AND e.v = x.a AND e.hops = d.hops - 1
+  WHERE d.hops > 0 GROUP BY d.s, d.v),
+tree AS (SELECT p.s, p.v, p.p, x.line FROM pred p JOIN adj x ON x.a = p.p AND x.b = p.v),
+paths(s, v, hops, route, lines) AS (
+  SELECT station_id, station_id, 0, CAST(station_id AS VARCHAR), '' FROM srcs
+  UNION ALL
+  SELECT t.s, t.v, p.hops + 1, p.route || '>' || CAST(t.v AS VARCHAR),
+         CASE WHEN p.lines = '' THEN t.line ELSE p.lines || '>' || t.line END
+  FROM paths p JOIN tree t ON t.s = p.s AND t.p = p.v)"""
+        f" SELECT a.name AS from_name, b.name AS to_name, p.hops, p.route, p.lines FROM paths p"
+        f" JOIN nodes a ON a.station_id = p.s JOIN nodes b ON b.station_id = p.v"
+        f" WHERE p.hops > 0 AND b.zone = {ZONE}")
     o["k_hop_neighbourhood"] = _wr(
         ADJ_CTES + _walk_ctes(f"SELECT station_id FROM nodes WHERE name = '{NAMED_STATION}'", K_HOPS)
         + "SELECT d.s AS src_id, d.v AS station_id, n.name, d.hops FROM dist d"

@@ -153,7 +153,21 @@ def peripheral_stations(g: GraphTables) -> DataFrame:
             .select("station_id", "name"))
 
 
-def busy_stations(g: GraphTables, threshold: float = 0.9) -> DataFrame:
+def degree_table(g: GraphTables) -> DataFrame:
+    """``degree_all`` written once to the shared checkpoint folder.
+
+    Operators that need a whole-set statistic of the degree (min, max, total,
+    histogram) and then the degrees themselves read this table several
+    times; materialising it (one row per station, far smaller than the
+    relationships) keeps the relationship scan and its shuffle to one pass.
+    """
+    from tracknet.plans.iterate import cut
+
+    return cut(degree_all(g))
+
+
+def busy_stations(g: GraphTables, threshold: float = 0.9,
+                  deg: DataFrame | None = None) -> DataFrame:
     """Stations whose degree is in the top decile: cumulative share of
     stations with a degree no higher than theirs is at least ``threshold``.
 
@@ -161,7 +175,7 @@ def busy_stations(g: GraphTables, threshold: float = 0.9) -> DataFrame:
     per distinct degree value, far fewer than stations) and joined back, so
     no window ever sorts the whole station set in one task.
     """
-    deg = degree_all(g)
+    deg = deg if deg is not None else degree_table(g)
     hist = deg.groupBy("connections").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("connections").rowsBetween(Window.unboundedPreceding, 0)
     total = deg.agg(F.count(F.lit(1))).scalar()
@@ -181,9 +195,9 @@ def quiet_alternatives(g: GraphTables, per_hub: int = 3, threshold: float = 0.9)
     shuffle, so even a hub with a huge neighbour list ships at most k rows
     per map task.
     """
-    busy = busy_stations(g, threshold).select(
+    deg = degree_table(g)
+    busy = busy_stations(g, threshold, deg).select(
         F.col("station_id").alias("hub_id"), F.col("name").alias("hub_name"))
-    deg = degree_all(g)
     nb = distinct_neighbours(g.relationships).select(
         F.col("station_id").alias("hub_id"), F.col("neighbour_id").alias("station_id"))
     cand = (nb.join(busy, "hub_id")
@@ -199,7 +213,7 @@ def quiet_alternatives(g: GraphTables, per_hub: int = 3, threshold: float = 0.9)
 def degree_scaled(g: GraphTables, buckets: int = 5) -> DataFrame:
     """Degree min-max scaled to [0, 1] and cut into ``buckets`` equal-width
     classes (the top value falls in the last class)."""
-    deg = degree_all(g)
+    deg = degree_table(g)
     lo = deg.agg(F.min("connections")).scalar()
     hi = deg.agg(F.max("connections")).scalar()
     span = hi - lo

@@ -93,3 +93,22 @@ def test_no_python_udf_in_plans(spark, tiny):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
         assert "CartesianProduct" not in plan
+
+
+def test_filters_and_columns_reach_the_scan(spark, tiny):
+    from tracknet.operators import lookup as L
+    from tracknet.operators.model import GraphTables
+
+    path = tempfile.mkdtemp(prefix="tracknet-nodes-") + "/nodes"
+    tiny.nodes.write.parquet(path)
+    g = GraphTables(spark.read.parquet(path), tiny.relationships)
+    plan = L.stations_in_zone(g, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(zone), EqualTo(zone,1)]" in plan
+    assert "ReadSchema: struct<station_id:int,name:string,zone:int>" in plan
+
+
+def test_quiet_alternatives_limits_before_shuffle(tiny):
+    from tracknet.operators import aggregates as A
+
+    plan = A.quiet_alternatives(tiny)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -42,8 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, taking it from the session.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    used as it is. Only when nothing is configured (local tests) a scratch
-    folder is created.
+    used as it is. Only when nothing is configured and the master is local
+    (tests) a scratch folder is created; on a cluster that is an error,
+    because a machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: iterative operators need a folder that every "
+                "executor can reach (a shared file system or object store path)")
         configured = tempfile.mkdtemp(prefix="tracknet-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracknet.operators.aggregates import degree_all, rel_counts, top_busiest
+from tracknet.operators.aggregates import degree_all, rel_counts_rollup, top_busiest
 from tracknet.operators.model import GraphTables
 
 
@@ -38,12 +38,11 @@ def validate_graph(g: GraphTables, top: int = 10) -> DataFrame:
     count, relationships per type, their total, and the busiest stations."""
     stations = g.nodes.agg(F.count(F.lit(1)).alias("value")).select(
         F.lit("stations").alias("section"), F.lit("Station").alias("item"), "value")
-    per_type = rel_counts(g).select(
-        F.lit("relationships").alias("section"), F.col("rel_type").alias("item"),
-        F.col("relationships").alias("value"))
-    total = g.relationships.agg(F.count(F.lit(1)).alias("value")).select(
-        F.lit("total").alias("section"), F.lit("ALL").alias("item"), "value")
+    # per-type counts and their total from one pass over the relationships
+    per_type_and_total = rel_counts_rollup(g).select(
+        F.when(F.col("is_total") == 1, F.lit("total")).otherwise(F.lit("relationships"))
+        .alias("section"), F.col("rel_type").alias("item"), F.col("relationships").alias("value"))
     busiest = top_busiest(degree_all(g), top).select(
         F.lit("busiest").alias("section"), F.col("name").alias("item"),
         F.col("connections").alias("value"))
-    return stations.unionByName(per_type).unionByName(total).unionByName(busiest)
+    return stations.unionByName(per_type_and_total).unionByName(busiest)

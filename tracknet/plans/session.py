@@ -13,7 +13,8 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  driver_memory: str = "8g", app: str = "tracknet") -> SparkSession:
+                  driver_memory: str = "8g", app: str = "tracknet",
+                  event_log_dir: str | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -29,6 +30,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if event_log_dir:
+        # stage and task times without the web UI: read the JSON event log
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir))
     warehouse = os.environ.get("TRACKNET_WAREHOUSE")
     if warehouse:
         builder = builder.config("spark.sql.warehouse.dir", warehouse)

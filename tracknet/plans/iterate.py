@@ -36,8 +36,10 @@ def cut(df: DataFrame, **metrics: Column):
     if metrics:
         obs = Observation()
         df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
+    schema = df.schema
     df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
+    # the schema is known: reading it back needs no footer inference
+    out = spark.read.schema(schema).parquet(path)
     if not metrics:
         return out
     got = obs.get

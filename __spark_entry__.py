@@ -9,6 +9,8 @@ engines compute each answer from the raw parquet independently.
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,15 @@ from tracknet.sources import manifest as MF
 from tracknet.sources import store as ST
 from tracknet.sources import testdata as T
 
+# The text operators and their pipeline may be absent; errors inside them are raised.
+def _optional(package: str, module: str):
+    spec = find_spec(package)
+    return import_module(module) if spec is not None and spec.origin else None
+
+
+LLM = _optional("tracknet.llm", "tracknet.llm.queries")
+PIPELINE = _optional("corpus_pipeline", "corpus_pipeline") if LLM else None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameters of the sample questions (fixed values of the registered queries).
@@ -229,6 +240,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = _queries_basic()
     q.update(_queries_etl())
     q.update(_queries_graph())
+    if LLM:
+        q.update(LLM.queries())
+    if PIPELINE:
+        q["pipeline"] = PIPELINE.run
     return q
 
 
@@ -597,4 +612,8 @@ def oracle_sql() -> dict[str, str]:
     o = _oracles_basic()
     o.update(_oracles_etl())
     o.update(_oracles_graph())
+    if LLM:
+        o.update(LLM.oracle_sql())
+    if PIPELINE and PIPELINE.ORACLE_SQL:
+        o["pipeline"] = PIPELINE.ORACLE_SQL
     return o

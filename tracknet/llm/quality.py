@@ -32,7 +32,7 @@ from tracknet.plans.iterate import cut
 STOP_WORDS = ("the", "of", "and", "to", "in", "is", "that", "for", "der", "die", "und", "das", "den", "von", "zu", "mit",
               "le", "la", "les", "de", "et", "des", "un", "que", "el", "los", "en", "del", "se", "con", "por", "su")
 MIN_WORDS = 50
-EM_ROUNDS = 25
+EM_ROUNDS = 12
 MIN_POSTERIOR = 0.5
 #: Pseudo-counts that keep rates off 0 and 1.
 PRIOR_VOTES = 1.0
@@ -150,16 +150,24 @@ class LabelModel:
     bad_rates: list[tuple[float, float]]
     good_rates: list[tuple[float, float]]
 
-    def log_odds(self, pattern: Column) -> Column:
-        out = F.lit(math.log(self.good / (1 - self.good)))
-        for k, (b, g) in enumerate(zip(self.bad_rates, self.good_rates, strict=True)):
-            digit = F.pmod(F.floor(pattern / F.lit(3**k)), F.lit(3))
-            weigh = [math.log(g[v] / b[v]) for v in (0, 1)] + [math.log((1 - g[0] - g[1]) / (1 - b[0] - b[1]))]
-            out = out + F.when(digit == 0, weigh[0]).when(digit == 1, weigh[1]).otherwise(weigh[2])
-        return out
+    def weights(self) -> list[float]:
+        """Log odds for good of each rule's votes 0, 1 and 2 (abstains), rule by rule, then those of no vote at all."""
+        out = []
+        for b, g in zip(self.bad_rates, self.good_rates, strict=True):
+            out += [math.log(g[0] / b[0]), math.log(g[1] / b[1]), math.log((1 - g[0] - g[1]) / (1 - b[0] - b[1]))]
+        return [*out, math.log(self.good / (1 - self.good))]
 
-    def posterior(self, pattern: Column) -> Column:
-        return 1 / (1 + F.exp(-self.log_odds(pattern)))
+    def posterior(self, cells: Column) -> Column:
+        """P(good) from a document's cells (``vote_cells``). The weights are one
+        array, so that all rounds of EM share a small plan and its code."""
+        w = F.lit(self.weights())
+        return 1 / (1 + F.exp(-F.aggregate(cells, F.lit(0.0), lambda acc, c: acc + F.get(w, c))))
+
+
+def vote_cells(pattern: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Places of a pattern's votes among the weights, and the place of the prior."""
+    votes = [F.pmod(F.call_function("div", pattern, F.lit(3**k)), F.lit(3)).cast("int") + 3 * k for k in range(len(rules))]
+    return F.array(*votes, F.lit(3 * len(rules)))
 
 
 def start_model(rules: tuple[Rule, ...] = RULES) -> LabelModel:
@@ -170,24 +178,19 @@ def start_model(rules: tuple[Rule, ...] = RULES) -> LabelModel:
 
 def fit(patterns: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = EM_ROUNDS) -> LabelModel:
     """EM over ``(pattern, n)``: one aggregate of a bounded table per round."""
-    model = start_model(rules)
-    digits = [F.pmod(F.floor(F.col("pattern") / F.lit(3**k)), F.lit(3)) for k in range(len(rules))]
+    model, k = start_model(rules), len(rules)
+    table = patterns.select("n", vote_cells(F.col("pattern"), rules).alias("cells"))
     for _ in range(rounds):
-        p = model.posterior(F.col("pattern"))
-        parts = [F.sum(F.col("n")).alias("all"), F.sum(F.col("n") * p).alias("good")]
-        for k, d in enumerate(digits):
-            for v in (0, 1):
-                mine = F.when(d == v, F.col("n")).otherwise(0)
-                parts += [F.sum(mine).alias(f"n{k}{v}"), F.sum(mine * p).alias(f"g{k}{v}")]
-        got = patterns.agg(*parts).first()
-        if not got["all"]:
+        seen = table.select(F.explode("cells").alias("cell"), "n", (F.col("n") * model.posterior(F.col("cells"))).alias("g"))
+        got = {r["cell"]: (r["n"], r["g"]) for r in seen.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("g").alias("g")).collect()}
+        if not got:
             return model
-        good, total = got["good"], got["all"]
+        total, good = got[3 * k]
         rate = lambda hit, of: (hit + PRIOR_VOTES) / (of + 3 * PRIOR_VOTES)
-        model = LabelModel(
-            (good + PRIOR_VOTES) / (total + 2 * PRIOR_VOTES),
-            [(rate(got[f"n{k}0"] - got[f"g{k}0"], total - good), rate(got[f"n{k}1"] - got[f"g{k}1"], total - good)) for k in range(len(rules))],
-            [(rate(got[f"g{k}0"], good), rate(got[f"g{k}1"], good)) for k in range(len(rules))])
+        cells = [[got.get(3 * r + v, (0, 0.0)) for v in (0, 1)] for r in range(k)]
+        model = LabelModel((good + PRIOR_VOTES) / (total + 2 * PRIOR_VOTES),
+                           [tuple(rate(n - g, total - good) for n, g in c) for c in cells],
+                           [tuple(rate(g, good) for _, g in c) for c in cells])
     return model
 
 
@@ -200,7 +203,7 @@ def judge_quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     stats = text_statistics(docs, text_col, keep).withColumn("base_failed", base_failed()).withColumn("pattern", votes(rules))
     # the statistics are written once: the model is fitted on them, then applied to them
     table = cut(stats)
-    patterns = cut(table.filter("NOT base_failed").groupBy("pattern").agg(F.count(F.lit(1)).alias("n")))
+    patterns = cut(table.filter("NOT base_failed").groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).coalesce(1))
     model = fit(patterns, rules)
-    return (table.withColumn("posterior", model.posterior(F.col("pattern")))
+    return (table.withColumn("posterior", model.posterior(vote_cells(F.col("pattern"), rules)))
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= min_posterior)))

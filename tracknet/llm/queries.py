@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracknet.llm import quality, url_filter
+import public_tokenizers
+
+from tracknet.llm import bpe, hyperminhash, mixing, quality, quartile, substring, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,12 +133,108 @@ FROM (SELECT *, {p} AS p FROM voted, m{quality.EM_ROUNDS})
 """
 
 
+# ------------------------------------------------------ 3: substring dedup
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP3_SQL = """
+WITH docs AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t-\\r]'), lambda x: x <> '') AS words FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM docs),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS s FROM starts),
+repeats AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM windows) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM repeats),
+places AS (SELECT doc_id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS p FROM docs),
+kept AS (
+  SELECT places.doc_id, string_agg(w, ' ' ORDER BY places.p) AS words, count(*) AS n
+  FROM places ANTI JOIN gone ON gone.doc_id = places.doc_id AND gone.p = places.p GROUP BY places.doc_id)
+SELECT docs.doc_id, len(docs.words) AS n_words, len(docs.words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.words, '')) AS kept_sha256
+FROM docs LEFT JOIN kept ON kept.doc_id = docs.doc_id
+"""
+
+
+# --------------------------------------------------------- 4: token counts
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def vocabulary() -> tuple[str, str]:
+    """Path and split pattern of the registered queries' vocabulary."""
+    return public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), *vocabulary())
+
+
+# ------------------------------------------------ 6: MinHash near-duplicates
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+OP6_SQL = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[ \\t-\\r]'), lambda x: x <> '') AS words FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(CASE WHEN len(words) >= 5 THEN range(1, len(words) - 3) WHEN len(words) > 0 THEN [1] ELSE [] END) AS i FROM docs)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other),
+low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT low.doc_id, coalesce(n, 0) AS n_shingles, component_id, low.doc_id = component_id AS kept
+FROM low LEFT JOIN sizes ON sizes.doc_id = low.doc_id
+"""
+
+
+# --------------------------------------------------- 8: byte-level BPE
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest_documents(table(spark, sf_dir, "documents"), *vocabulary())
+
+
+# ------------------------------------------------------- 9: fingerprints
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quartile.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------- 10: mixing
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": op1_url_filter,
         "op2_quality_rules": op2_quality_rules,
+        "op3_substring_dedup": op3_substring_dedup,
+        "op4_token_counts": op4_token_counts,
+        "op6_near_duplicates": op6_near_duplicates,
+        "op8_byte_bpe": op8_byte_bpe,
+        "op9_fingerprints": op9_fingerprints,
+        "op10_mixing": op10_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": _op1_sql(), "op2_quality_rules": _op2_sql()}
+    return {
+        "op1_url_filter": _op1_sql(),
+        "op2_quality_rules": _op2_sql(),
+        "op3_substring_dedup": OP3_SQL,
+        "op6_near_duplicates": OP6_SQL,
+    }

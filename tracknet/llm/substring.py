@@ -48,7 +48,7 @@ from tracknet.plans.iterate import cut
 WINDOW = 20
 ANCHOR = 8
 SHARD_WORDS = 200_000
-#: Windows that share one place of an anchor, at most.
+#: 8-word runs in a window.
 SPAN = WINDOW - ANCHOR + 1
 #: Segments of different words under one anchor from which the anchor is split.
 CROWD = 256
@@ -136,11 +136,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _POW, _INV = W._powers(W._Q, 1 << 14), W._powers(pow(W._Q, -1, 1 << 64), 1 << 14)
 
 
-def segments_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first window, number of windows and content hash of each segment of a text's word hashes."""
+def segments_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, first window, number of windows, content hash of each segment of
+    a text's word hashes, and whether the text repeats one of its windows."""
     if len(h) < WINDOW:
         none = np.zeros(0, np.int64)
-        return none, none, none, none
+        return none, none, none, none, none.astype(bool)
     anchor = W.sliding_min(W.windows(h, ANCHOR), SPAN)
     start = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
     n = np.diff(np.append(start, len(anchor)))
@@ -149,7 +150,11 @@ def segments_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     np.cumsum(h * power[:len(h)], out=total[1:])
     size = n + WINDOW - 1
     content = W.mix((total[start + size] - total[start]) * inverse[start] + size.astype(np.uint64))
-    return anchor[start].view(np.int64), start, n, content.view(np.int64)
+    whole = W.windows(h, WINDOW)
+    ordered = np.sort(whole)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    again = np.logical_or.reduceat(np.isin(whole, twice), start) if twice.size else np.zeros(len(start), bool)
+    return anchor[start].view(np.int64), start, n, content.view(np.int64), again
 
 
 def _hashes(raw: np.ndarray) -> np.ndarray:
@@ -162,9 +167,9 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for at in range(0, len(batch), 512):
                 found = []
                 for raw in W.text_bytes(batch.column(2).slice(at, 512)):
-                    anchor, _, n, _ = segments_of(_hashes(raw))
-                    # a segment longer than one place of its anchor allows may repeat itself
-                    found.append(np.repeat(anchor, np.where(n > SPAN, 2, 1)))
+                    anchor, _, _, _, again = segments_of(_hashes(raw))
+                    # a segment may repeat a window within itself
+                    found.append(np.repeat(anchor, np.where(again, 2, 1)))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["anchor"])
 
 
@@ -176,10 +181,10 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found = [segments_of(_hashes(raw)) for raw in W.text_bytes(part.column(2))]
                 times = np.array([len(f[0]) for f in found])
                 row = pa.array(np.repeat(np.arange(len(found)), times))
-                anchor, start, n, content = (np.concatenate(x) for x in zip(*found, strict=True))
+                anchor, start, n, content, again = (np.concatenate(x) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(content), part.column(0).take(row), part.column(1).take(row),
-                                                  pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
-                                                 ["anchor", "content", "id", "tag", "start", "n"])
+                                                  pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(again)],
+                                                 ["anchor", "content", "id", "tag", "start", "n", "again"])
 
 
 def _pieces(shards: int):
@@ -243,15 +248,15 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     """``(id, tag, spans)``: the repeated windows of each document of ``(id, tag, text)`` as ``(start, n)`` runs."""
     spark = rows.sparkSession
     often = rows.mapInArrow(_anchors, "anchor bigint").groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("anchor")
-    schema = "anchor bigint, content bigint, id bigint, tag bigint, start int, n int"
+    schema = "anchor bigint, content bigint, id bigint, tag bigint, start int, n int, again boolean"
     shared = cut(rows.mapInArrow(_segments, schema).join(often, "anchor", "left_semi"))
     # equal segments: the first stays, the others go whole
     place = F.struct("id", "tag", "start")
-    folded = cut(shared.groupBy("anchor", "content").agg(F.min(place).alias("first"), F.min("n").alias("n"), F.count(F.lit(1)).alias("c")))
+    folded = cut(shared.groupBy("anchor", "content").agg(F.min(place).alias("first"), F.min("n").alias("n"), F.max("again").alias("again"), F.count(F.lit(1)).alias("c")))
     several = folded.filter("c > 1").select("anchor", "content", "first")
     copies = shared.join(several, ["anchor", "content"]).filter(~place.eqNullSafe(F.col("first"))).select("id", "tag", "start", "n")
-    # anchors with segments of different words, or one so long that it may repeat itself
-    crowd = folded.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("longest")).filter(f"m > 1 OR longest > {SPAN}")
+    # anchors with segments of different words, or with one that may repeat itself
+    crowd = folded.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.max("again").alias("again")).filter("m > 1 OR again").drop("again")
     asked, size = cut(folded.join(crowd, "anchor").select(
         "first.id", "first.tag", F.struct("anchor", "first.start", "n", F.ceil(F.col("m") / CROWD).cast("int").alias("parts")).alias("seg"), "n"),
         words=F.sum(F.col("n") + WINDOW - 1))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tracknet.llm import bpe, hyperminhash, mixing, quality, quartile, substring, token_counts, url_filter
+from tracknet.llm import bpe, hyperminhash, mixing, quality, quartile, substring, token_counts, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -170,6 +170,27 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), *vocabulary())
 
 
+# ----------------------------------------------------------------- 5: WARC
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives all pages, then reads every record back from the bundles."""
+    folder, index = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return warc.read_bundles(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS size, sha1(html) AS hex FROM p),
+b AS (SELECT *, CAST(unhex(hex) AS BIT)::VARCHAR AS bits, min(page_id) OVER (PARTITION BY hex, size) AS low FROM d)
+SELECT page_id, size AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + list_sum(list_transform(range(0, 5), lambda j: CAST(substr(bits, 5 * i + j + 1, 1) AS INTEGER) * (16 >> j)))::INTEGER, 1)), '') AS payload_digest,
+       CASE WHEN page_id = low THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> low THEN low END AS refers_to
+FROM b
+"""
+
+
 # ------------------------------------------------ 6: MinHash near-duplicates
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,6 +220,13 @@ FROM low LEFT JOIN sizes ON sizes.doc_id = low.doc_id
 """
 
 
+# ------------------------------------------------------- 7: toxicity
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 # --------------------------------------------------- 8: byte-level BPE
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +252,9 @@ def queries() -> dict[str, Query]:
         "op2_quality_rules": op2_quality_rules,
         "op3_substring_dedup": op3_substring_dedup,
         "op4_token_counts": op4_token_counts,
+        "op5_warc": op5_warc,
         "op6_near_duplicates": op6_near_duplicates,
+        "op7_toxicity": op7_toxicity,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_fingerprints": op9_fingerprints,
         "op10_mixing": op10_mixing,
@@ -236,5 +266,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_url_filter": _op1_sql(),
         "op2_quality_rules": _op2_sql(),
         "op3_substring_dedup": OP3_SQL,
+        "op5_warc": OP5_SQL,
         "op6_near_duplicates": OP6_SQL,
     }

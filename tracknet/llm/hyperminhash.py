@@ -223,6 +223,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return out.select("id", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
+def keep_representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns; of rows equal in id and text one."""
+    kept = near_duplicates(docs, id_col=id_col, text_col=text_col).filter("kept").select(F.col("id").alias("_kept")).distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates([id_col, text_col])
+
+
 def _of_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
         for batch in batches:

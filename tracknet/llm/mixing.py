@@ -26,7 +26,7 @@ hold about ``GROUP`` documents each, as a source is split by a hash of its ids.
 
 Defined results: a null text has size 0; a null source is a source of its own,
 last in order. Repeated rows are documents of their own, but repair moves rows
-of one id together. Without words all targets are 0 and nothing is taken.
+equal in id and text together. Without words all targets are 0 and nothing is taken.
 An empty table gives an empty result. Extra columns are not read.
 """
 
@@ -101,7 +101,7 @@ def _round(docs: DataFrame) -> DataFrame:
     """``copies`` from ``rate``: its whole part, and one more where the running sum of the parts passes an integer."""
     parts = F.round(F.col("rate") * UNIT).cast("long")
     cell = [F.col("source"), F.col("salt")]
-    order = Window.partitionBy(*cell).orderBy(F.col("size").desc(), "key", F.col("id").asc_nulls_last())
+    order = Window.partitionBy(*cell).orderBy(F.col("size").desc(), "key", F.col("id").asc_nulls_last(), "tag")
     start = F.floor(_hash32(F.concat_ws("|", F.lit("start"), F.coalesce(F.col("source"), F.lit("")), F.col("salt").cast("string"))) / 4)
     upto = F.sum("_part").over(order.rowsBetween(Window.unboundedPreceding, 0)) + start
     return (docs.withColumn("_part", parts).withColumn("_upto", upto)
@@ -113,30 +113,40 @@ def _repair(docs: DataFrame, goals: DataFrame, cap: int) -> DataFrame:
     got = docs.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("_got"))
     gaps = goals.join(got, goals["source"].eqNullSafe(got["source"])).select(goals["source"].alias("_of"), (F.col("target") - F.col("_got")).alias("gap"))
     gap = F.col("gap")
-    near = F.struct(F.abs(F.col("size") - F.abs(gap)).alias("d"), F.col("key").alias("key"), F.col("id").alias("id"))
+    near = F.struct(F.abs(F.col("size") - F.abs(gap)).alias("d"), F.col("key").alias("key"), F.col("id").alias("id"), F.col("tag").alias("tag"))
     may = ((gap > 0) & (F.col("copies") < cap)) | ((gap < 0) & (F.col("copies") > 0))
     best = (docs.join(gaps, F.col("source").eqNullSafe(F.col("_of"))).filter(may & (F.abs(F.col("size") - F.abs(gap)) < F.abs(gap)))
-            .groupBy("_of", "gap").agg(F.min(near).alias("_b")).select("_of", F.signum("gap").cast("long").alias("_sign"), F.col("_b.id").alias("_id")))
+            .groupBy("_of", "gap").agg(F.min(near).alias("_b")).select("_of", F.signum("gap").cast("long").alias("_sign"), F.col("_b.id").alias("_id"), F.col("_b.tag").alias("_tag")))
     moved = docs.join(best, F.col("source").eqNullSafe(F.col("_of")), "left")
-    return cut(moved.withColumn("copies", F.when(F.col("id").eqNullSafe(F.col("_id")) & F.col("_sign").isNotNull(),
+    return cut(moved.withColumn("copies", F.when(F.col("id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")),
                                                  F.least(F.lit(cap), F.greatest(F.lit(0), F.col("copies") + F.col("_sign")))).otherwise(F.col("copies")).cast("long"))
                .select(*docs.columns))
 
 
 def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", tilt_col: str | None = None,
                 weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """``(id, source, size, source_size, target, rate, copies, taken)`` per document."""
+    """``(id, tag, source, size, source_size, target, rate, copies, taken)`` per document; ``tag`` is a hash of the text."""
     tilt = F.col(tilt_col).cast("double") if tilt_col else F.lit(1.0)
     size = F.size(split_words(F.coalesce(F.col(text_col), F.lit("")))).cast("long")
-    narrow = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), tilt.alias("tilt"), size.alias("size")))
+    narrow = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), tilt.alias("tilt"), size.alias("size"),
+                             F.xxhash64(text_col).alias("tag")))
     groups = cut(narrow.groupBy("source", "tilt").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")))
     goals = cut(targets(groups.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("n").alias("n_docs")), weights, cap))
     solved = solve(groups, goals, cap).select(F.col("source").alias("_of"), "source_size", "n_docs", "target", "dual")
     key = _hash32(F.coalesce(F.col("id").cast("string"), F.lit("")))
     rated = narrow.join(solved, F.col("source").eqNullSafe(F.col("_of"))).select(
-        "id", "source", "size", "source_size", "target", rate(F.col("dual"), F.col("tilt"), cap).alias("rate"), key.alias("key"),
+        "id", "tag", "source", "size", "source_size", "target", rate(F.col("dual"), F.col("tilt"), cap).alias("rate"), key.alias("key"),
         F.pmod(key, F.ceil(F.col("n_docs") / GROUP)).alias("salt"))
     mixed = cut(_round(rated))
     for _ in range(REPAIRS):
         mixed = _repair(mixed, goals, cap)
-    return mixed.select("id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return mixed.select("id", "tag", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def take_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with each row repeated as often as the mix takes it; rows equal
+    in id and text are taken equally often, their mean rounded."""
+    copies = mix_sources(docs, id_col=id_col, text_col=text_col, **options).groupBy("id", "tag").agg(F.round(F.avg("copies")).cast("int").alias("_copies"))
+    copies = copies.filter("_copies > 0").select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), "_copies")
+    found = docs.join(copies, docs[id_col].eqNullSafe(copies["_id"]) & (F.xxhash64(docs[text_col]) == copies["_tag"]))
+    return found.withColumn("_copies", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(*[docs[c] for c in docs.columns])

@@ -207,3 +207,18 @@ def judge_quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     model = fit(patterns, rules)
     return (table.withColumn("posterior", model.posterior(vote_cells(F.col("pattern"), rules)))
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= min_posterior)))
+
+
+def keep_good(docs: DataFrame, *, text_col: str = "text", rules: tuple[Rule, ...] = RULES, min_posterior: float = MIN_POSTERIOR) -> DataFrame:
+    """The rows of ``docs`` that ``judge_quality`` keeps, with their columns.
+
+    Texts are not written or moved: the first pass only counts vote patterns,
+    the second works out each row's verdict where it is read. The verdict picks
+    rows through ``inline``, as a filter would be pushed below the statistics
+    and repeat them for each place they are used in."""
+    packed = docs.select(F.struct("*").alias("_row"), F.col(text_col).alias("_in"))
+    stats = text_statistics(packed, "_in", ["_row"]).withColumn("_failed", base_failed()).withColumn("_pattern", votes(rules))
+    counted = cut(stats.select(F.when(~F.col("_failed"), F.col("_pattern")).alias("pattern")).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).coalesce(1))
+    model = fit(counted.filter("pattern IS NOT NULL"), rules)
+    good = ~F.col("_failed") & (model.posterior(vote_cells(F.col("_pattern"), rules)) >= min_posterior)
+    return stats.select(F.inline(F.when(good, F.array("_row")))).toDF(*docs.columns)

@@ -295,12 +295,14 @@ def remaining_text(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, kept:
     return b" ".join(out)
 
 
-def with_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, text, spans)`` of every row of ``docs``."""
+def with_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``(id, text, spans)`` of every row of ``docs``, and ``row``, a struct of the columns ``carry``."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"))
-    spans = cut(repeated_spans(rows))
-    return rows.join(spans, rows["id"].eqNullSafe(spans["id"]) & (rows["tag"] == spans["tag"]), "left").select(rows["id"], "text", "spans")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"),
+                       *([F.struct(*carry).alias("row")] if carry else []))
+    spans = cut(repeated_spans(rows.select("id", "tag", "text")))
+    spans = spans.select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), "spans")
+    return rows.join(spans, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")), "left").drop("tag", "_id", "_tag")
 
 
 def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -313,7 +315,7 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             for at in range(0, len(batch), 512):
                 part = batch.slice(at, 512)
                 out = []
-                for raw, spans in zip(W.text_bytes(part.column(1)), part.column(2).to_pylist(), strict=True):
+                for raw, spans in zip(W.text_bytes(part.column("text")), part.column("spans").to_pylist(), strict=True):
                     n, gone, starts, ends, kept = keep_first(raw, spans)
                     whole = raw.tobytes() if not gone else remaining_text(raw, starts, ends, kept)
                     out.append((n, gone, whole.decode(), hashlib.sha256(joined_words(raw, starts, ends, kept)).hexdigest()))
@@ -323,3 +325,24 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     return with_spans(docs, id_col=id_col, text_col=text_col).mapInArrow(
         run, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, kept_sha256 string")
+
+
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """``docs`` with the repeated spans cut out of the texts (a null text becomes an empty one), ``length_col`` counted anew."""
+    carry = [c for c in docs.columns if c != text_col]
+    spanned = with_spans(docs.withColumn(text_col, F.col(text_col).cast("string")), id_col=id_col, text_col=text_col, carry=carry)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 512):
+                part = batch.slice(at, 512)
+                texts = []
+                for raw, spans in zip(W.text_bytes(part.column("text")), part.column("spans").to_pylist(), strict=True):
+                    texts.append((remaining_text(raw, *keep_first(raw, spans)[2:]) if spans else raw.tobytes()).decode())
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], ["row", "text"])
+
+    out = spanned.mapInArrow(run, f"row {spanned.schema['row'].dataType.simpleString()}, text string")
+    new = {text_col: F.col("text")}
+    if length_col in carry:
+        new[length_col] = F.length("text").cast(docs.schema[length_col].dataType)
+    return out.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

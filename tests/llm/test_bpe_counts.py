@@ -1,0 +1,119 @@
+import base64
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tracknet.llm import bpe as B
+from tracknet.llm import token_counts as T
+from tracknet.llm.queries import vocabulary
+
+PATH, PATTERN = vocabulary()
+RANKS = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+TIKTOKEN = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=RANKS, special_tokens={})
+ODD = ["", " ", "\n\n  x", "naïve café 😀😀 日本語 \u200d", "don't WE'LL I'm 's", "a\x00b\x1f\x85\u2028c", "<|endoftext|> x", "x" * 3000, "é" * 500,
+       "\ud7ff\ue000 \U0010ffff", "0123456789 ٣٤ ½ Ⅷ", "   trailing   ", "\t\t\tif x:\r\n    y", "a" + " " * 700 + "b", "!?" * 400]
+
+
+def ids(data):
+    return np.frombuffer(data, "<u4").tolist()
+
+
+@pytest.fixture(scope="module")
+def coder():
+    return B.load(PATH, PATTERN)
+
+
+def test_odd_texts_as_tiktoken(coder):
+    for text, data in zip(ODD, coder.encode_batch(ODD)):
+        assert ids(data) == TIKTOKEN.encode_ordinary(text), text[:40]
+        assert coder.decode(np.frombuffer(data, "<u4")) == text
+
+
+@given(st.text(max_size=80))
+@settings(max_examples=400, deadline=None)
+def test_any_text_as_tiktoken_and_back(text):
+    coder = B.load(PATH, PATTERN)
+    data = coder.encode_batch([text])[0]
+    assert ids(data) == TIKTOKEN.encode_ordinary(text)
+    assert coder.decode(np.frombuffer(data, "<u4")) == text
+
+
+def test_other_vocabulary():
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = B.read_ranks(path)
+    enc = tiktoken.Encoding("b", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = ODD + ["The quick brown fox, naïvely, jumped over 1234 lazy dogs'"]
+    for text, data in zip(texts, B.load(path, PATTERN).encode_batch(texts)):
+        assert ids(data) == enc.encode_ordinary(text)
+
+
+def test_offsets_cover_bytes_and_split_characters(coder):
+    text = "a😀é \U0001f9ff\u0489x"
+    got = np.frombuffer(coder.encode_batch([text])[0], "<u4")
+    spans = coder.token_offsets(got)
+    raw = text.encode()
+    assert spans[0][0] == 0 and spans[-1][1] == len(raw)
+    assert all(x[1] == y[0] for x, y in zip(spans, spans[1:]))
+    for token, (a, b, c, d) in zip(got.tolist(), spans):
+        assert coder.tokens[token] == raw[a:b]
+        assert raw[a:b] in text[c:d].encode() and len(text[c:d].encode()) - (b - a) <= 6
+    assert any(y[2] < x[3] for x, y in zip(spans, spans[1:]))     # a character split between tokens
+
+
+def test_kept_pieces_are_bounded(monkeypatch, coder):
+    monkeypatch.setattr(B, "KEEP_PIECES", 5)
+    texts = [f"word{k} and {k}" + "y" * 100 for k in range(50)]
+    for text, data in zip(texts, coder.encode_batch(texts)):
+        assert ids(data) == TIKTOKEN.encode_ordinary(text)
+    coder.encode_batch(["z"])
+    assert len(coder.kept) <= 6
+
+
+def test_byte_table_is_one_to_one():
+    chars = B.byte_characters()
+    assert len(set(chars)) == 256 and all(c.isprintable() and not c.isspace() for c in chars) and chars[ord("a")] == "a"
+
+
+def test_documents_with_nulls_and_clashing_names(spark):
+    rows = [(i, t, 1, "s") for i, t in enumerate(ODD) if "\ud7ff" not in t] + [(900, None, 1, "s"), (900, None, 1, "s"), (None, "x y", 2, "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int, id string")
+    got = B.encode_documents(docs, PATH, PATTERN, offsets=True).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = dict((i, t) for i, t, _, _ in rows)[r.doc_id] or ""
+        assert ids(r.ids) == TIKTOKEN.encode_ordinary(text) and bytes(r.decoded).decode() == text and len(r.spans) == 16 * r.n_tokens
+    assert B.digest_documents(spark.createDataFrame([], "doc_id long, text string"), PATH, PATTERN).collect() == []
+
+
+def test_token_counts_answer_every_limit(spark):
+    rng = random.Random(6)
+    lengths = [rng.choice([0, 0, 1, 5, 900, 1023, 1024, 1025, 2048, 5000, rng.randrange(9000)]) for _ in range(400)]
+    sums = T.suffix_sums(T.length_histogram(spark.createDataFrame([(n,) for n in lengths], "n_tokens long")))
+    for r in sums.collect():
+        n = r.n_tokens
+        assert r.n_docs == lengths.count(n)
+        assert r.docs_from == sum(x >= n for x in lengths) and r.tokens_from == sum(x for x in lengths if x >= n)
+        assert r.docs_below == sum(x < n for x in lengths) and r.tokens_below == sum(x for x in lengths if x < n)
+        assert r.tokens_at_limit == sum(min(x, n) for x in lengths)
+    limits = [0, 1, 2, 899, 900, 901, 1024, 4999, 5000, 8999, 10**6]
+    got = {r.limit: r.total for r in T.truncated_totals(sums, spark.createDataFrame([(x,) for x in limits], "limit long")).collect()}
+    assert got == {x: sum(min(n, x) for n in lengths) for x in limits}
+    ordered = sorted(lengths)
+    for q in (0.01, 0.5, 0.9, 1.0):
+        want = next(v for k, v in enumerate(ordered) if (k + 1) / len(ordered) >= q and (k + 1 == len(ordered) or ordered[k + 1] != v))
+        assert T.quantile(sums, q).first().n_tokens == want
+
+
+def test_token_counts_of_documents_and_of_none(spark):
+    docs = spark.createDataFrame([("a b",), (None,), ("a b",), ("",)], "text string")
+    n = len(TIKTOKEN.encode_ordinary("a b"))
+    got = {r.n_tokens: r.n_docs for r in T.token_counts(docs, PATH, PATTERN).collect()}
+    assert got == {0: 2, n: 2}
+    empty = T.token_counts(docs.limit(0), PATH, PATTERN)
+    assert empty.collect() == [] and T.quantile(empty, 0.5).first().n_tokens is None
+    assert T.truncated_totals(empty, spark.createDataFrame([(5,)], "limit long")).first().total == 0

@@ -1,0 +1,89 @@
+import base64
+import hashlib
+import os
+import struct
+
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+
+from tracknet.llm import warc as A
+
+HTML = ["<p>one</p>", "<p>two</p>", "<p>one</p>", None, "", "é\r\n\r\nWARC/1.1\r\n", "<p>one</p>", "x" * 700_000, "<p>two</p>"]
+
+
+def pages(spark):
+    rows = [(10 + i, f"http://h.org/{i}\r\nX: y", h, "a", 5) for i, h in enumerate(HTML)] + [(10, "http://h.org/0", "<p>one</p>", "a", 5), (None, None, "<p>two</p>", "a", 5)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string, revisit string, size int").repartition(3)
+
+
+def digest(text):
+    return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
+
+
+def test_round_trip(spark):
+    folder, index = A.archive_pages(pages(spark))
+    got = A.read_bundles(index, folder).collect()
+    assert len(got) == len(HTML) + 2
+    low = {}
+    for i, h in enumerate(HTML):
+        low.setdefault(h or "", 10 + i)
+    for r in got:
+        text = "<p>two</p>" if r.page_id is None else HTML[r.page_id - 10] or ""
+        first = low[text]
+        assert r.payload_bytes == len(text.encode()) and r.payload_digest == digest(text)
+        if r.page_id == first:
+            assert (r.record_type, r.refers_to, r.payload) == ("response", None, text)
+        else:
+            assert (r.record_type, r.refers_to, r.payload) == ("revisit", first, None)
+
+
+def test_small_payloads_below_the_least_are_responses(spark):
+    folder, index = A.archive_pages(pages(spark), min_payload=1)
+    kinds = {r.page_id: r.record_type for r in A.read_bundles(index, folder).collect()}
+    assert kinds[13] == kinds[14] == "response" and kinds[12] == "revisit"
+
+
+def test_index_leads_to_each_record(spark, monkeypatch):
+    folder, index = A.archive_pages(pages(spark))
+    files, root = A.open_folder(folder)
+    for r in index.collect():
+        headers, block = A.BundleReader(files, f"{root}/{r.bundle}").record(r.frame, r.at)
+        assert headers["WARC-Record-ID"] == (f"<urn:x-page:{r.page_id}>" if r.page_id is not None else "<urn:x-page:none>")
+        assert "X" not in headers and int(headers["Content-Length"]) == len(block)
+
+
+def test_bundles_are_plain_zstandard_with_a_seek_table(tmp_path):
+    files, root = A.open_folder(str(tmp_path))
+    writer = A.BundleWriter(files, f"{root}/b.warc.zst")
+    records = [A.make_record(i, "http://x/", os.urandom(90_000), "D", None, False) for i in range(9)]
+    places = [writer.add(r) for r in records]
+    writer.close()
+    raw = (tmp_path / "b.warc.zst").read_bytes()
+    plain = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True).read()
+    assert plain == b"".join(records)
+    count, _, magic = struct.unpack("<IBI", raw[-9:])
+    assert magic == A.SEEKABLE and count == max(p[0] for p in places) + 1 > 2
+    reader = A.BundleReader(files, f"{root}/b.warc.zst")
+    for (frame, at, length), record in zip(places, records):
+        assert reader.frame(frame)[at:at + length] == record
+
+
+def test_damage_and_stray_files(spark):
+    folder, index = A.archive_pages(pages(spark))
+    files, root = A.open_folder(folder)
+    with files.open_output_stream(f"{root}/left-by-a-failed-attempt.warc.zst", compression=None) as out:
+        out.write(b"half")
+    assert A.read_bundles(index, folder).count() == len(HTML) + 2
+    with pytest.raises(Exception, match="not what the index says|KeyError"):
+        A.read_bundles(index.withColumn("page_id", F.lit(1).cast("long")), folder).collect()
+
+
+def test_empty_table(spark):
+    folder, index = A.archive_pages(pages(spark).limit(0))
+    assert index.collect() == [] and A.read_bundles(index, folder).collect() == []
+
+
+def test_folders_by_uri_and_path(tmp_path):
+    for name in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        assert A.open_folder(name)[1] == str(tmp_path)

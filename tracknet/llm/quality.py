@@ -34,6 +34,8 @@ STOP_WORDS = ("the", "of", "and", "to", "in", "is", "that", "for", "der", "die",
 MIN_WORDS = 50
 EM_ROUNDS = 12
 MIN_POSTERIOR = 0.5
+#: Chances of a bad and of a good vote on bad and on good documents from which EM starts.
+START_BAD, START_GOOD = (0.3, 0.5), (0.02, 0.8)
 #: Pseudo-counts that keep rates off 0 and 1.
 PRIOR_VOTES = 1.0
 
@@ -41,13 +43,11 @@ PRIOR_VOTES = 1.0
 @dataclass(frozen=True)
 class Rule:
     """Votes 0 where ``bad`` holds, else 1 where ``good`` holds, else abstains.
-    The conditions are SQL over the statistics, valid in Spark and DuckDB.
-    ``right`` is the rate at which EM first takes the rule's votes to be right."""
+    The conditions are SQL over the statistics, valid in Spark and DuckDB."""
 
     name: str
     bad: str
     good: str
-    right: float = 0.8
 
 
 #: Statistics are counts; thresholds are kept as integer products, so no rounding matters.
@@ -171,9 +171,8 @@ def vote_cells(pattern: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def start_model(rules: tuple[Rule, ...] = RULES) -> LabelModel:
-    """Rules are first taken to vote on two documents of three, rightly at the rate ``right``."""
-    turn = 2 / 3
-    return LabelModel(0.8, [(turn * r.right, turn * (1 - r.right)) for r in rules], [(turn * (1 - r.right), turn * r.right) for r in rules])
+    """Junk is of one kind or another, so at first a bad vote weighs much and a good vote little."""
+    return LabelModel(0.8, [START_BAD] * len(rules), [START_GOOD] * len(rules))
 
 
 def fit(patterns: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = EM_ROUNDS) -> LabelModel:

@@ -146,7 +146,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 def take_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it; rows equal
     in id and text are taken equally often, their mean rounded."""
-    copies = mix_sources(docs, id_col=id_col, text_col=text_col, **options).groupBy("id", "tag").agg(F.round(F.avg("copies")).cast("int").alias("_copies"))
-    copies = copies.filter("_copies > 0").select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), "_copies")
-    found = docs.join(copies, docs[id_col].eqNullSafe(copies["_id"]) & (F.xxhash64(docs[text_col]) == copies["_tag"]))
-    return found.withColumn("_copies", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(*[docs[c] for c in docs.columns])
+    copies = mix_sources(docs, id_col=id_col, text_col=text_col, **options).groupBy("id", "tag").agg(F.round(F.avg("copies")).cast("int").alias("copies"))
+    packed = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_doc"), F.xxhash64(text_col).alias("_text"))
+    found = packed.join(copies.filter("copies > 0"), F.col("_doc").eqNullSafe(F.col("id")) & (F.col("_text") == F.col("tag")))
+    return found.select(F.explode(F.array_repeat("_row", F.col("copies"))).alias("_row")).select("_row.*")

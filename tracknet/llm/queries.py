@@ -246,6 +246,48 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def _op10_sql() -> str:
+    cap, unit = mixing.CAP, mixing.UNIT
+    weight = "CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % " + str(len(mixing.WEIGHTS)) + " " + " ".join(
+        f"WHEN {k} THEN {w}" for k, w in enumerate(mixing.WEIGHTS)) + " END"
+    hash32 = lambda x: f"CAST('0x' || substr(md5({x}), 1, 8) AS BIGINT)"
+    parts = ["l0 AS MATERIALIZED (SELECT CAST(sum(s) AS DOUBLE) / sum(w) AS level FROM sources)"]
+    for k in range(1, 31):
+        over = f"level * w > {cap} * s"
+        parts.append(f"l{k} AS MATERIALIZED (SELECT coalesce(CAST(sum(s) - sum(CASE WHEN {over} THEN {cap} * s ELSE 0 END) AS DOUBLE) "
+                     f"/ nullif(sum(CASE WHEN {over} THEN 0 ELSE w END), 0), max(level)) AS level FROM sources, l{k - 1})")
+    steps = []
+    for k in range(mixing.REPAIRS):
+        may = f"((gap > 0 AND copies < {cap}) OR (gap < 0 AND copies > 0)) AND abs(size - abs(gap)) < abs(gap)"
+        steps.append(f"""
+gaps{k} AS (SELECT source, any_value(target) - sum(copies * size) AS gap FROM mix{k} GROUP BY source),
+best{k} AS (
+  SELECT rid, gap FROM (SELECT rid, gap, row_number() OVER (PARTITION BY m.source ORDER BY abs(size - abs(gap)), key, doc_id) AS k
+  FROM mix{k} m JOIN gaps{k} g ON g.source IS NOT DISTINCT FROM m.source WHERE {may}) WHERE k = 1),
+mix{k + 1} AS MATERIALIZED (
+  SELECT m.* REPLACE (copies + CASE WHEN b.gap > 0 THEN 1 WHEN b.gap < 0 THEN -1 ELSE 0 END AS copies)
+  FROM mix{k} m LEFT JOIN best{k} b ON b.rid = m.rid)""")
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, source,
+         len(list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]'), lambda x: x <> '')) AS size FROM documents),
+sources AS MATERIALIZED (SELECT source, CAST(s AS BIGINT) AS s, n, {weight} AS w FROM (SELECT source, sum(size) AS s, count(*) AS n FROM docs GROUP BY source)),
+{", ".join(parts)},
+goals AS MATERIALIZED (SELECT source, s, n, least(coalesce(level, 0) * w, CAST({cap} * s AS DOUBLE)) AS target FROM sources, l30),
+rated AS (
+  SELECT rid, doc_id, docs.source, size, s AS source_size, target, {hash32("coalesce(doc_id::VARCHAR, '')")} AS key,
+         CAST(round(CASE WHEN target >= {cap} * s THEN {cap} ELSE target / s END * {unit}) AS BIGINT) AS part,
+         {hash32("coalesce(doc_id::VARCHAR, '')")} % CAST(ceil(n / {float(mixing.GROUP)}) AS BIGINT) AS salt
+  FROM docs JOIN goals ON goals.source IS NOT DISTINCT FROM docs.source),
+summed AS (
+  SELECT *, sum(part) OVER (PARTITION BY source, salt ORDER BY size DESC, key, doc_id ROWS UNBOUNDED PRECEDING)::BIGINT
+            + {hash32("'start|' || coalesce(source, '') || '|' || salt")} // 4 AS upto FROM rated),
+mix0 AS MATERIALIZED (SELECT *, upto // {unit} - (upto - part) // {unit} AS copies FROM summed),
+{", ".join(steps)}
+SELECT doc_id, size, source_size, target, copies * size AS taken FROM mix{mixing.REPAIRS}
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -268,4 +310,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_substring_dedup": OP3_SQL,
         "op5_warc": OP5_SQL,
         "op6_near_duplicates": OP6_SQL,
+        "op10_mixing": _op10_sql(),
     }

@@ -45,6 +45,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 ZONE = 1
 LOOKUP_ZONES = [1, 2, 9]
 SEARCH_TERMS = ["customer#0000001", "99"]
+POSTCODE = "N5"
 LINE = "1_AND_URGENT"
 LINE_B = "2_AND_HIGH"
 RAW_LINE = "5 & LOW"
@@ -81,6 +82,9 @@ def _queries_basic() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["out_degree"] = lambda s, sf: A.out_degree(_g(s, sf))
     q["station_count"] = lambda s, sf: A.station_count(_g(s, sf))
     q["rel_counts"] = lambda s, sf: A.rel_counts(_g(s, sf))
+    q["rel_counts_ordered"] = lambda s, sf: A.rel_counts_ordered(_g(s, sf))
+    q["zone_counts_ordered"] = lambda s, sf: A.zone_counts_ordered(_g(s, sf))
+    q["stations_with"] = lambda s, sf: L.stations_with(_g(s, sf), postcode=POSTCODE, zone=ZONE)
     q["rel_counts_rollup"] = lambda s, sf: A.rel_counts_rollup(_g(s, sf))
     q["line_connection_counts"] = lambda s, sf: A.line_connection_counts(T.load_connections(s, sf))
     q["distinct_lines"] = lambda s, sf: A.distinct_lines(T.load_connections(s, sf))
@@ -154,27 +158,29 @@ def _queries_graph() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return q
 
 
-def _landing(s: SparkSession, sf: str) -> str:
-    """Write the projected source files as CSV into a fresh landing folder
-    under the shared checkpoint directory and return the folder."""
+def _landing(s: SparkSession, sf: str, *files: str) -> str:
+    """Write the asked projected source files as CSV into a fresh landing
+    folder under the shared checkpoint directory and return the folder."""
     root = scratch_path(s, "landing")
-    CSV.write_csv(T.raw_station_rows(s, sf), f"{root}/stations")
-    CSV.write_csv(T.connection_rows(s, sf), f"{root}/connections")
+    if "stations" in files:
+        CSV.write_csv(T.raw_station_rows(s, sf), f"{root}/stations")
+    if "connections" in files:
+        CSV.write_csv(T.connection_rows(s, sf), f"{root}/connections")
     return root
 
 
 def csv_stations(s: SparkSession, sf: str) -> DataFrame:
-    root = _landing(s, sf)
+    root = _landing(s, sf, "stations")
     return M.clean_stations(CSV.read_stations(s, f"{root}/stations"))
 
 
 def csv_connections(s: SparkSession, sf: str) -> DataFrame:
-    root = _landing(s, sf)
+    root = _landing(s, sf, "connections")
     return M.clean_connections(CSV.read_connections(s, f"{root}/connections"))
 
 
 def ingest_manifest(s: SparkSession, sf: str) -> DataFrame:
-    root = _landing(s, sf)
+    root = _landing(s, sf, "stations", "connections")
     parts = [MF.ingest_manifest(s, f"{root}/{d}").select(F.lit(d).alias("dataset"), "rows")
              for d in ("stations", "connections")]
     return (parts[0].unionByName(parts[1]).groupBy("dataset")
@@ -208,7 +214,7 @@ def derived_names(s: SparkSession, sf: str) -> DataFrame:
     n = _g(s, sf).nodes
     user = F.concat(F.lower(F.replace(F.col("name"), F.lit("#"), F.lit("."))), F.lit("-x@"),
                     F.lower(F.col("postcode")), F.lit(".example"))
-    path = F.concat(F.lit("/Volumes/zone_"), F.coalesce(F.col("zone").cast("string"), F.lit("none")),
+    path = F.concat(F.lit("/landing/zone_"), F.coalesce(F.col("zone").cast("string"), F.lit("none")),
                     F.lit("/"), F.lower(F.col("postcode")), F.lit("/raw/"))
     return n.select("station_id",
                     user_identifier(user, ID_PREFIX).alias("catalog_name"),
@@ -251,7 +257,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 GRAPH_CTES = """
 stations AS (
-  SELECT CAST(c_custkey AS INTEGER) AS station_id, c_name AS name,
+  SELECT CAST(c_custkey AS BIGINT) AS station_id, c_name AS name,
          CAST(51.0 AS DOUBLE) + CAST(c_custkey % 1000 AS DOUBLE) / CAST(1000.0 AS DOUBLE) AS latitude,
          CAST(-0.5 AS DOUBLE) + CAST(c_custkey % 700 AS DOUBLE) / CAST(1000.0 AS DOUBLE) AS longitude,
          CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(n_regionkey + 1 AS INTEGER) END AS zone,
@@ -313,6 +319,14 @@ def _oracles_basic() -> dict[str, str]:
     o["station_count"] = _w("SELECT count(*) AS stations FROM nodes")
     o["rel_counts"] = _w(
         "SELECT rel_type, count(*) AS relationships FROM relationships GROUP BY rel_type")
+    o["rel_counts_ordered"] = _w(
+        "SELECT rel_type, relationships, row_number() OVER (ORDER BY relationships DESC, rel_type NULLS LAST) AS rank "
+        "FROM (SELECT rel_type, count(*) AS relationships FROM relationships GROUP BY rel_type)")
+    o["zone_counts_ordered"] = _w(
+        "SELECT zone, stations, row_number() OVER (ORDER BY zone) AS rank "
+        "FROM (SELECT zone, count(*) AS stations FROM nodes WHERE zone IS NOT NULL GROUP BY zone)")
+    o["stations_with"] = _w(
+        f"SELECT station_id, name, zone, postcode FROM nodes WHERE postcode = '{POSTCODE}' AND zone = {ZONE}")
     o["rel_counts_rollup"] = _w(
         "SELECT rel_type, count(*) AS relationships, 0 AS is_total FROM relationships GROUP BY rel_type "
         "UNION ALL SELECT 'ALL', count(*), 1 FROM relationships")
@@ -597,7 +611,7 @@ def _oracles_etl() -> dict[str, str]:
         f"SELECT station_id, '{ID_PREFIX}_' || translate(split_part(u, '@', 1), '.-', '__') AS catalog_name,"
         " split_part(trim(p, '/'), '/', 2) AS path_catalog, split_part(trim(p, '/'), '/', 3) AS path_schema"
         " FROM (SELECT station_id, lower(replace(name, '#', '.')) || '-x@' || lower(postcode) || '.example' AS u,"
-        " '/Volumes/zone_' || coalesce(CAST(zone AS VARCHAR), 'none') || '/' || lower(postcode) || '/raw/' AS p"
+        " '/landing/zone_' || coalesce(CAST(zone AS VARCHAR), 'none') || '/' || lower(postcode) || '/raw/' AS p"
         " FROM nodes) t")
     o["sql_line_count"] = _w(
         "SELECT rel_type, count(*) AS relationships, count(DISTINCT src_id) AS stations"

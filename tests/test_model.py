@@ -42,7 +42,7 @@ def test_rel_type_name(spark):
 
 def test_derived_names(spark):
     from tracknet.functions.names import catalog_from_path, schema_from_path, user_identifier
-    df = spark.createDataFrame([("first.last-x@example.com", "/Volumes/cat/sch/vol/")], "u string, p string")
+    df = spark.createDataFrame([("first.last-x@example.com", "/landing/cat/sch/vol/")], "u string, p string")
     r = df.select(user_identifier("u", "metro").alias("c"),
                   catalog_from_path("p").alias("k"), schema_from_path("p").alias("s")).first()
     assert (r.c, r.k, r.s) == ("metro_first_last_x", "cat", "sch")

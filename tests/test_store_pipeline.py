@@ -2,6 +2,7 @@ import os
 import shutil
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tracknet.plans.pipeline import run_pipeline
@@ -22,7 +23,11 @@ def test_pipeline_end_to_end(spark, tiny_dir):
     # one folder per type: a filter on the type prunes files
     plan = rels.filter(F.col("rel_type") == "GREY")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "GREY" in plan
-    assert spark.catalog.tableExists(res.tables["nodes"] + "_by_id")
+    # the node table is bucketed on its key: a join on it does not shuffle it
+    assert "Bucket" in "".join(r.col_name for r in spark.sql(f"DESCRIBE EXTENDED {res.tables['nodes']}").collect())
+    got = {r.metric: r.value for r in res.metrics(spark).collect()}
+    assert got["nodes"] == 8 and got["stations_rejected"] == 1 and got["seconds_total"] > 0
+    assert [r.reason for r in spark.table(res.tables["station_quarantine"]).collect()] == ["bad_zone"]
     # a second full run clears first, so nothing doubles
     res2 = run_pipeline(spark, st, cn, "tracknet_test")
     assert res2.counts["deleted_nodes"] == 8 and res2.counts["deleted_relationships"] == 18
@@ -31,6 +36,49 @@ def test_pipeline_end_to_end(spark, tiny_dir):
     assert v[("stations", "Station")] == 8 and v[("total", "ALL")] == 18
 
 
+STATION_HEAD = "ID,Station_Name,Latitude,Longitude,Zone,Postcode\n"
+LINE_HEAD = "Tube_Line,From_Station,To_Station\n"
+
+
+def _load(spark, tmp_path, db, stations, lines, **options):
+    (tmp_path / "s.csv").write_text(STATION_HEAD + stations)
+    (tmp_path / "l.csv").write_text(LINE_HEAD + lines)
+    return run_pipeline(spark, str(tmp_path / "s.csv"), str(tmp_path / "l.csv"), db, **options)
+
+
+def test_a_first_load_reduces_nodes_by_key(spark, tmp_path):
+    res = _load(spark, tmp_path, "tracknet_dup", "1,Ash,1,1,1,A\n1,Ash,1,1,1,A\n2,Box,1,1,1,B\n", "Red,Ash,Box\n")
+    assert res.counts["nodes"] == 2 and res.counts["relationships"] == 2
+
+
+def test_an_incremental_load_links_to_stored_stations(spark, tmp_path):
+    _load(spark, tmp_path, "tracknet_inc", "1,Ash,1,1,1,A\n2,Box,1,1,1,B\n", "Red,Ash,Box\nRed,Ash,Gone\n")
+    res = _load(spark, tmp_path, "tracknet_inc", "3,Cob,1,1,1,C\n2,Box,1,1,2,B\n", "Red,Cob,Ash\nRed,Cob,Lost\n", clear_first=False)
+    assert res.counts["nodes"] == 3 and res.counts["relationships"] == 2
+    assert {(r.src_id, r.dst_id) for r in spark.table(res.tables["relationships"]).collect()} == {(1, 2), (2, 1), (3, 1), (1, 3)}
+    assert spark.table(res.tables["nodes"]).filter("station_id = 2").first().zone == 2
+    kept = {(r.to_station, r.load_id == res.load_id) for r in spark.table(res.tables["quarantine"]).collect()}
+    assert kept == {("Gone", False), ("Lost", True)}
+
+
+def test_stations_without_a_usable_key_are_reported(spark, tmp_path):
+    big = 2**40
+    res = _load(spark, tmp_path, "tracknet_keys", f"1,Ash,1,1,\"2,3\",A\n,Box,1,1,1,B\nx7,Cob,1,1,1,C\n{big},Dow,1,1,1,D\n", "Red,Ash,Dow\n")
+    assert {r.station_id for r in spark.table(res.tables["nodes"]).collect()} == {1, big}
+    got = {(r.name, r.reason, r.zone_text) for r in spark.table(res.tables["station_quarantine"]).collect()}
+    assert got == {("Ash", "bad_zone", "2,3"), ("Box", "no_key", "1"), ("Cob", "bad_key", "1")}
+
+
+def test_a_second_full_load_replaces_everything_and_a_failed_one_nothing(spark, tmp_path):
+    _load(spark, tmp_path, "tracknet_again", "1,Ash,1,1,1,A\n2,Box,1,1,1,B\n", "Red,Ash,Box\n")
+    res = _load(spark, tmp_path, "tracknet_again", "7,Gum,1,1,1,A\n8,Hop,1,1,1,B\n9,Ivy,1,1,1,C\n", "Red,Gum,Hop\n")
+    assert sorted(r.station_id for r in spark.table(res.tables["nodes"]).collect()) == [7, 8, 9]
+    assert (res.counts["deleted_nodes"], res.counts["deleted_relationships"]) == (2, 2)
+    with pytest.raises(Exception):
+        run_pipeline(spark, str(tmp_path / "s.csv"), str(tmp_path / "missing.csv"), "tracknet_again")
+    assert spark.table(res.tables["nodes"]).count() == 3 and spark.table(res.tables["relationships"]).count() == 2
+
+
 def test_append_without_clear_doubles(spark, tiny):
     store.ensure_database(spark, "tracknet_append")
     store.save_relationships(tiny.relationships, "tracknet_append.rels", mode="append")
@@ -52,8 +100,14 @@ def test_save_table_verify_and_swap(spark, tiny):
 
 
 def test_manifest(spark, tiny_dir):
-    got = {r.file: r.rows for r in ingest_manifest(spark, tiny_dir).collect()}
+    got = {r.file: r.rows for r in ingest_manifest(spark, tiny_dir, recursive=False).collect()}
     assert got == {"stations.csv": 8, "connections.csv": 10}
+    for d, n in (("a", 2), ("b", 3)):
+        os.makedirs(os.path.join(tiny_dir, "same", d), exist_ok=True)
+        with open(os.path.join(tiny_dir, "same", d, "x y.csv"), "w") as f:
+            f.write("h\n" + "1\n" * n)
+    two = ingest_manifest(spark, os.path.join(tiny_dir, "same")).collect()
+    assert [(r.file, r.rows) for r in two] == [("x y.csv", 2), ("x y.csv", 3)] and "/a/" in two[0].path
     missing = ingest_manifest(spark, os.path.join(tiny_dir, "nope"))
     assert missing.count() == 0
 
@@ -84,6 +138,21 @@ def test_landing_stream(spark, tiny, tiny_dir):
     assert spark.read.parquet(os.path.join(root, "rels")).count() == 18
 
 
+def test_a_repeated_batch_adds_nothing(spark, tiny, tiny_dir):
+    from tracknet.streaming.landing import start_ingest
+
+    root = tempfile.mkdtemp(prefix="tracknet-stream-")
+    os.makedirs(os.path.join(root, "landing"))
+    shutil.copy(os.path.join(tiny_dir, "connections.csv"), os.path.join(root, "landing", "a.csv"))
+    tiny.nodes.write.parquet(os.path.join(root, "nodes"))
+    args = [os.path.join(root, d) for d in ("landing", "nodes", "rels", "quarantine")]
+    for attempt in ("one", "two"):      # a fresh checkpoint replays batch 0, as after a failure before its commit
+        start_ingest(spark, *args, checkpoint=os.path.join(root, attempt)).awaitTermination(120)
+        assert spark.read.parquet(args[2]).count() == 18 and spark.read.parquet(args[3]).count() == 1
+    with pytest.raises(ValueError):
+        start_ingest(spark, *args, checkpoint="")
+
+
 def test_no_python_udf_in_plans(spark, tiny):
     from tracknet.operators import aggregates as A
     from tracknet.operators import lookup as L

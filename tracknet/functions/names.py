@@ -31,12 +31,12 @@ def user_identifier(user, prefix: str) -> Column:
 
 
 def catalog_from_path(path) -> Column:
-    """Second element of a ``/Volumes/<catalog>/<schema>/<volume>`` path."""
+    """Second element of a ``/landing/<catalog>/<schema>/<volume>`` path."""
     trimmed = F.regexp_replace(_col(path), r"^/+|/+$", "")
     return F.split(trimmed, "/").getItem(1)
 
 
 def schema_from_path(path) -> Column:
-    """Third element of a ``/Volumes/<catalog>/<schema>/<volume>`` path."""
+    """Third element of a ``/landing/<catalog>/<schema>/<volume>`` path."""
     trimmed = F.regexp_replace(_col(path), r"^/+|/+$", "")
     return F.split(trimmed, "/").getItem(2)

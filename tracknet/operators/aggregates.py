@@ -23,6 +23,13 @@ def rel_counts(g: GraphTables) -> DataFrame:
     return g.relationships.groupBy("rel_type").agg(F.count(F.lit(1)).alias("relationships"))
 
 
+def rel_counts_ordered(g: GraphTables) -> DataFrame:
+    """:func:`rel_counts` with a rank, most relationships first (ties by type).
+    The window holds one row per type."""
+    rank = F.row_number().over(Window.orderBy(F.col("relationships").desc(), F.col("rel_type").asc_nulls_last()))
+    return rel_counts(g).withColumn("rank", rank).orderBy("rank")
+
+
 def rel_counts_rollup(g: GraphTables) -> DataFrame:
     """Per-type counts and the grand total in one pass. The total row has
     ``rel_type = 'ALL'`` and ``is_total = 1`` (a NULL type stays a group)."""
@@ -48,6 +55,12 @@ def zone_counts(g: GraphTables) -> DataFrame:
             .groupBy("zone").agg(F.count(F.lit(1)).alias("stations")))
 
 
+def zone_counts_ordered(g: GraphTables) -> DataFrame:
+    """:func:`zone_counts` in order of the zones, with the place of each. The
+    window holds one row per zone."""
+    return zone_counts(g).withColumn("rank", F.row_number().over(Window.orderBy("zone"))).orderBy("rank")
+
+
 def zone_count_lookup(g: GraphTables, zones: DataFrame) -> DataFrame:
     """Station count for each requested zone; a zone without stations gets 0.
     ``zones`` has one column ``zone``."""

@@ -12,6 +12,15 @@ def stations_in_zone(g: GraphTables, zone: int) -> DataFrame:
     return g.nodes.filter(F.col("zone") == zone).select("station_id", "name", "zone")
 
 
+def stations_with(g: GraphTables, *, name: str | None = None, postcode: str | None = None, zone: int | None = None) -> DataFrame:
+    """Stations with the given properties (all of those that are given)."""
+    found = g.nodes
+    for column, value in (("name", name), ("postcode", postcode), ("zone", zone)):
+        if value is not None:
+            found = found.filter(F.col(column) == value)
+    return found.select("station_id", "name", "zone", "postcode")
+
+
 def name_search(g: GraphTables, terms: list[str]) -> DataFrame:
     """Case-insensitive substring search for several terms in one scan.
 
@@ -21,9 +30,9 @@ def name_search(g: GraphTables, terms: list[str]) -> DataFrame:
     if not terms:
         raise ValueError("name_search needs at least one term")
     arr = F.array(*[F.lit(t) for t in terms])
-    return (g.nodes.select("station_id", "name", F.explode(arr).alias("term"))
-            .filter(F.lower(F.col("name")).contains(F.lower(F.col("term"))))
-            .select("term", "station_id", "name"))
+    # the terms that hit are picked first, so stations without a hit make no rows
+    hits = F.filter(arr, lambda t: F.lower(F.col("name")).contains(F.lower(t)))
+    return g.nodes.select(F.explode(hits).alias("term"), "station_id", "name")
 
 
 def station_lookup(g: GraphTables, names: DataFrame) -> DataFrame:

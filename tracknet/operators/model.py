@@ -39,10 +39,11 @@ def clean_stations(raw: DataFrame) -> DataFrame:
 
     ``try_cast`` gives NULL for a value that does not parse (the behaviour of a
     non-ANSI cast), so one bad cell does not fail the load. ``zone`` is an
-    integer; a value such as ``2,3`` becomes NULL.
+    integer; a value such as ``2,3`` becomes NULL. :func:`rejected_stations`
+    reports what is lost that way.
     """
     return raw.select(
-        F.col("ID").try_cast("int").alias("station_id"),
+        F.col("ID").try_cast("bigint").alias("station_id"),
         F.col("Station_Name").cast("string").alias("name"),
         F.col("Latitude").try_cast("double").alias("latitude"),
         F.col("Longitude").try_cast("double").alias("longitude"),
@@ -51,6 +52,18 @@ def clean_stations(raw: DataFrame) -> DataFrame:
     )
 
 
+def rejected_stations(raw: DataFrame) -> DataFrame:
+    """Raw station rows that lose something in :func:`clean_stations`, with the
+    reason: ``no_key`` and ``bad_key`` rows cannot be nodes, ``bad_zone`` rows
+    become nodes without a zone. The text of the cells is kept."""
+    key, zone = F.col("ID").cast("string"), F.col("Zone").cast("string")
+    reason = (F.when(key.isNull() | (F.trim(key) == ""), F.lit("no_key"))
+              .when(F.col("ID").try_cast("bigint").isNull(), F.lit("bad_key"))
+              .when(zone.isNotNull() & (F.trim(zone) != "") & F.col("Zone").try_cast("int").isNull(), F.lit("bad_zone")))
+    return (raw.select(key.alias("id_text"), F.col("Station_Name").cast("string").alias("name"), zone.alias("zone_text"), reason.alias("reason"))
+            .filter(F.col("reason").isNotNull()))
+
+
 def clean_connections(raw: DataFrame) -> DataFrame:
     """Lower-case the connection columns; values stay as they are."""
     return raw.select(

@@ -3,11 +3,22 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracknet.operators.model import build_graph, clean_connections, clean_stations, upsert_nodes
+from tracknet.operators.model import (
+    GraphTables,
+    build_relationships,
+    clean_connections,
+    clean_stations,
+    rejected_stations,
+    station_nodes,
+    unmatched_connections,
+    upsert_nodes,
+)
 from tracknet.operators.schema import validate_graph
 from tracknet.sources import store
 from tracknet.sources.csv import observed, read_connections, read_stations
@@ -15,68 +26,76 @@ from tracknet.sources.csv import observed, read_connections, read_stations
 
 @dataclass
 class LoadResult:
+    load_id: str
     tables: dict[str, str]
     counts: dict[str, int]
     seconds: dict[str, float] = field(default_factory=dict)
     report: DataFrame | None = None
 
+    def metrics(self, spark: SparkSession) -> DataFrame:
+        """Counts and seconds of the load as ``(load_id, metric, value)``."""
+        rows = [(self.load_id, k, float(v)) for k, v in self.counts.items()]
+        rows += [(self.load_id, f"seconds_{k}", float(v)) for k, v in self.seconds.items()]
+        return spark.createDataFrame(rows, "load_id string, metric string, value double")
+
 
 def run_pipeline(spark: SparkSession, stations_path: str, connections_path: str,
-                 database: str, clear_first: bool = True, buckets: int = 8) -> LoadResult:
-    """Clear, load the source tables, write nodes (keyed), lay out the key,
-    write the relationships (one job, partitioned by type) and the quarantine,
-    then build the validation report.
+                 database: str, clear_first: bool = True) -> LoadResult:
+    """Load the source files into the graph tables of ``database``.
 
-    Source row counts come from observations on the table writes; there is
-    no separate counting pass and no per-line loop.
+    Nodes are always reduced by key; connections are resolved against the
+    stored nodes, so an incremental load (``clear_first=False``) links to
+    stations of earlier loads. With ``clear_first`` the new tables replace
+    the old ones, each only once it is completely written: a load that fails
+    leaves the old graph, not an empty one. Rows that do not make it into the
+    graph are appended, under the load's id, to ``quarantine`` (connections)
+    and ``station_quarantine``. Row counts are observed on the writes and
+    checked against what the tables hold afterwards.
     """
-    t0 = time.time()
     secs: dict[str, float] = {}
+    marks = [time.time()]
+
+    def lap(step: str) -> None:
+        marks.append(time.time())
+        secs[step] = marks[-1] - marks[-2]
+
+    load_id = uuid.uuid4().hex
     store.ensure_database(spark, database)
     names = {k: f"{database}.{k}" for k in
-             ("stations", "tube_lines", "nodes", "relationships", "quarantine")}
-    deleted = None
-    if clear_first:
-        deleted = store.clear_graph(spark, names["nodes"], names["relationships"]).first()
-    secs["clear"] = time.time() - t0
+             ("stations", "tube_lines", "nodes", "relationships", "quarantine", "station_quarantine")}
+    held = {k: store.table_rows(spark, names[k]) for k in ("nodes", "relationships")} if clear_first else None
+    lap("before")
 
-    t = time.time()
     raw_st, st_obs = observed(read_stations(spark, stations_path), "stations_source")
     raw_cn, cn_obs = observed(read_connections(spark, connections_path), "connections_source")
-    n_st = store.save_table(clean_stations(raw_st), names["stations"])
-    n_cn = store.save_table(raw_cn, names["tube_lines"])
-    secs["tables"] = time.time() - t
+    n_st = store.save_table(clean_stations(raw_st), names["stations"], verify=True)
+    n_cn = store.save_table(raw_cn, names["tube_lines"], verify=True)
+    rejected = rejected_stations(read_stations(spark, stations_path)).withColumn("load_id", F.lit(load_id))
+    n_rejected = store.save_table(rejected, names["station_quarantine"], mode="append", verify=True)
+    lap("tables")
+
+    incoming = station_nodes(spark.table(names["stations"]))
+    keep_old = not clear_first and spark.catalog.tableExists(names["nodes"])
+    existing = spark.table(names["nodes"]) if keep_old else incoming.limit(0)
+    n_nodes = store.save_nodes(upsert_nodes(existing, incoming.select(*existing.columns)), names["nodes"])
+    lap("nodes")
 
-    t = time.time()
-    stations = spark.table(names["stations"])
     connections = clean_connections(spark.table(names["tube_lines"]))
-    g = build_graph(stations, connections)
-    if spark.catalog.tableExists(names["nodes"]):
-        current = spark.table(names["nodes"])
-        nodes = upsert_nodes(current, g.nodes.select(*current.columns))
-    else:
-        nodes = g.nodes
-    n_nodes = store.save_table(nodes, names["nodes"] + "_next")
-    spark.sql(f"DROP TABLE IF EXISTS {names['nodes']}")
-    spark.sql(f"ALTER TABLE {names['nodes']}_next RENAME TO {names['nodes']}")
-    store.ensure_key_layout(spark.table(names["nodes"]), names["nodes"] + "_by_id", buckets)
-    secs["nodes"] = time.time() - t
-
-    t = time.time()
-    n_rel = store.save_relationships(g.relationships, names["relationships"], mode="append")
-    n_q = store.save_table(g.quarantine, names["quarantine"])
-    secs["relationships"] = time.time() - t
-
-    from tracknet.operators.model import GraphTables
-    stored = GraphTables(spark.table(names["nodes"]), spark.table(names["relationships"]))
+    nodes = spark.table(names["nodes"])
+    n_rel = store.save_relationships(build_relationships(connections, nodes), names["relationships"],
+                                     mode="overwrite" if clear_first else "append", verify=True)
+    unmatched = unmatched_connections(connections, nodes).withColumn("load_id", F.lit(load_id))
+    n_q = store.save_table(unmatched, names["quarantine"], mode="append", verify=True)
+    lap("relationships")
+
     counts = {
         "source_stations": st_obs.get.get("rows", n_st),
         "source_connections": cn_obs.get.get("rows", n_cn),
         "stations": n_st, "connections": n_cn, "nodes": n_nodes,
-        "relationships": n_rel, "quarantined": n_q,
+        "relationships": n_rel, "quarantined": n_q, "stations_rejected": n_rejected,
     }
-    if deleted is not None:
-        counts["deleted_nodes"] = deleted["deleted_nodes"]
-        counts["deleted_relationships"] = deleted["deleted_relationships"]
-    secs["total"] = time.time() - t0
-    return LoadResult(tables=names, counts=counts, seconds=secs, report=validate_graph(stored))
+    if held is not None:
+        counts["deleted_nodes"], counts["deleted_relationships"] = held["nodes"], held["relationships"]
+    secs["total"] = marks[-1] - marks[0]
+    stored = GraphTables(nodes, spark.table(names["relationships"]))
+    return LoadResult(load_id, names, counts, secs, validate_graph(stored))

@@ -9,9 +9,13 @@ while it is being read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tracknet.plans.iterate import cut, rows
+
 
 def ensure_database(spark: SparkSession, name: str, use: bool = True) -> None:
     """Create the schema if it does not exist and make it the current one."""
@@ -35,6 +39,7 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "over
     obs = Observation(f"write_{name.replace('.', '_')}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     exists = spark.catalog.tableExists(name)
+    before = spark.table(name).count() if verify and mode == "append" and exists else 0
     if mode == "append" and exists:
         target = name
     else:
@@ -52,9 +57,8 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "over
     written = obs.get.get("rows", 0)
     if verify:
         stored = spark.table(name).count()
-        expected = written if mode == "overwrite" or not exists else None
-        if expected is not None and stored != expected:
-            raise RuntimeError(f"{name}: wrote {written} rows but the table holds {stored}")
+        if stored != before + written:
+            raise RuntimeError(f"{name}: held {before} rows and wrote {written}, but now holds {stored}")
     return written
 
 
@@ -69,32 +73,54 @@ def write_path(df: DataFrame, path: str, mode: str = "overwrite",
     return obs.get.get("rows", 0)
 
 
-def save_relationships(rels: DataFrame, name: str, mode: str = "append") -> int:
+def save_relationships(rels: DataFrame, name: str, mode: str = "append", verify: bool = False) -> int:
     """Relationships in one job, one folder per type (``partitionBy``), so a
-    question about one line reads only that line's files. Appending the same
-    edges twice stores parallel relationships, as the graph load does."""
-    return save_table(rels, name, mode=mode, partition_by=["rel_type"])
-
-
-def ensure_key_layout(nodes: DataFrame, name: str, buckets: int = 8) -> bool:
-    """Idempotent key layout for station lookups: write the nodes bucketed and
-    sorted by ``station_id`` unless the table already exists. Returns whether
-    it was written."""
-    spark = nodes.sparkSession
-    if spark.catalog.tableExists(name):
-        return False
-    save_table(nodes, name, bucket=(buckets, "station_id"))
-    return True
+    question about one line reads only that line's files. The rows are
+    rebalanced by type first: a task writes few types, and a type with very
+    many rows is split into files of the advisory size. Appending the same
+    edges twice stores parallel relationships, as the graph load does.
+
+    ``overwrite`` of an existing table replaces the types' folders when the
+    job commits, then drops the types that are gone; a job that fails leaves
+    the table as it was. (A staged table cannot be renamed into place here:
+    its partitions would keep the staging table's folders.)"""
+    spark = rels.sparkSession
+    by_type = lambda r: spark.sql("SELECT /*+ REBALANCE(rel_type) */ src_id, dst_id, rel_type FROM {r}", r=r)
+    if mode == "append" or not spark.catalog.tableExists(name):
+        return save_table(by_type(rels), name, mode="append", partition_by=["rel_type"], verify=verify)
+    staged, n = cut(rels, rows=rows())
+    types = {r[0] for r in staged.select("rel_type").distinct().collect()}     # one row per line
+    by_type(staged).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(name)
+    for (old,) in spark.table(name).select("rel_type").distinct().collect():
+        if old not in types:
+            value = "NULL" if old is None else "'" + old.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (rel_type = {value})")
+    if verify and spark.table(name).count() != n["rows"]:
+        raise RuntimeError(f"{name}: wrote {n['rows']} rows but the table holds {spark.table(name).count()}")
+    return n["rows"]
+
+
+ROWS_PER_BUCKET = 500_000
+
+
+def save_nodes(nodes: DataFrame, name: str) -> int:
+    """The node table, bucketed and sorted by ``station_id`` so that joins and
+    lookups on the key need no shuffle. The number of buckets follows the
+    number of rows. Replaced as a whole; the row count is checked."""
+    staged, n = cut(nodes, rows=rows())
+    return save_table(staged, name, bucket=(max(1, math.ceil(n["rows"] / ROWS_PER_BUCKET)), "station_id"), verify=True)
+
+
+def table_rows(spark: SparkSession, name: str) -> int:
+    """Rows of a table; 0 if there is none."""
+    return spark.table(name).count() if spark.catalog.tableExists(name) else 0
 
 
 def clear_graph(spark: SparkSession, nodes_table: str, rels_table: str) -> DataFrame:
     """Empty both graph tables and return how many nodes and relationships
     were deleted (one row). The counts are taken before the tables are
     truncated; a missing table counts as 0."""
-    def count(t):
-        return spark.table(t).count() if spark.catalog.tableExists(t) else 0
-
-    n, r = count(nodes_table), count(rels_table)
+    n, r = table_rows(spark, nodes_table), table_rows(spark, rels_table)
     for t in (nodes_table, rels_table):
         if spark.catalog.tableExists(t):
             spark.sql(f"TRUNCATE TABLE {t}")

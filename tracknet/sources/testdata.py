@@ -24,7 +24,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stations in the cleaned layout (``station_id int, name, latitude,
+    """Stations in the cleaned layout (``station_id long, name, latitude,
     longitude, zone int, postcode``)."""
     customer = _table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal")
@@ -32,7 +32,7 @@ def station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
     key = F.col("c_custkey")
     return j.select(
-        key.cast("int").alias("station_id"),
+        key.cast("long").alias("station_id"),
         F.col("c_name").alias("name"),
         (F.lit(51.0) + (key % 1000).cast("double") / F.lit(1000.0)).alias("latitude"),
         (F.lit(-0.5) + (key % 700).cast("double") / F.lit(1000.0)).alias("longitude"),

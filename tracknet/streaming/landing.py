@@ -3,8 +3,8 @@
 New CSV files in the landing folder are picked up by a file source (its
 checkpoint remembers which files were done, so a restart neither skips nor
 repeats a file). Each micro-batch is resolved against the current station
-nodes and appended as relationships (both directions, partitioned by type);
-rows that do not resolve are appended to a quarantine folder.
+nodes and written as relationships (both directions, partitioned by batch and type);
+rows that do not resolve go to a quarantine folder.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from tracknet.operators.model import (
     clean_connections,
     unmatched_connections,
 )
-from tracknet.plans.session import scratch_path
 from tracknet.sources.csv import CONNECTION_SCHEMA
 
 
@@ -26,18 +25,21 @@ def connection_stream(spark: SparkSession, landing: str, max_files: int = 100) -
 
 
 def start_ingest(spark: SparkSession, landing: str, nodes_path: str, rels_path: str,
-                 quarantine_path: str, checkpoint: str | None = None,
-                 available_now: bool = True):
-    """Start the ingest query and return its handle. ``checkpoint`` defaults
-    to a folder under the shared checkpoint directory."""
-    checkpoint = checkpoint or scratch_path(spark, "landing-stream")
+                 quarantine_path: str, checkpoint: str, available_now: bool = True):
+    """Start the ingest query and return its handle. ``checkpoint`` names the
+    folder that remembers which files are done; a restart must be given the
+    same one. Each batch writes its own ``batch_id`` partition and overwrites
+    it, so a batch that is repeated after a failure is stored once."""
+    if not checkpoint:
+        raise ValueError("a checkpoint folder is needed: without it a restart would load every file again")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         nodes = spark.read.parquet(nodes_path)
-        conns = clean_connections(batch)
-        build_relationships(conns, nodes).write.mode("append") \
-            .partitionBy("rel_type").parquet(rels_path)
-        unmatched_connections(conns, nodes).write.mode("append").parquet(quarantine_path)
+        conns = clean_connections(batch).persist()
+        build_relationships(conns, nodes).write.mode("overwrite") \
+            .partitionBy("rel_type").parquet(f"{rels_path}/batch_id={batch_id}")
+        unmatched_connections(conns, nodes).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+        conns.unpersist()
 
     w = (connection_stream(spark, landing).writeStream.foreachBatch(load)
          .option("checkpointLocation", checkpoint))

@@ -4,8 +4,8 @@ A document is the set of the 64-bit hashes of its 5-word shingles. The hashes
 are dealt into 128 buckets by their top bits; of the smallest hash of each
 bucket the sketch keeps only the number of leading zeros and the 10 bits that
 follow, 16 bits a bucket. Bands of 6 registers, taken from 4 arrangements of
-the registers (84 bands), are the candidate keys; a candidate pair is weighed
-by the collision-corrected Jaccard estimate of its sketches, and what the
+the registers (84 bands), are the candidate keys, after empty registers have
+borrowed from others; a candidate pair is weighed by the collision-corrected Jaccard estimate of its sketches, and what the
 estimate leaves is confirmed on the full shingle sets of both texts.
 
 At the threshold of 0.75 a pair misses all bands with a chance of about 1e-7
@@ -14,7 +14,7 @@ and falls under the estimate's margin (5 standard errors) with about 3e-7.
 Not all pairs of a band are made. Equal sets are folded first, so a class of
 exact copies is one set. In a band, every set is paired with the smallest one;
 links join sets to components, and a band whose sets are all in one component
-is done. In the bands that remain, the next 1, 2, 4, ... sets are leaders,
+is done. In the bands that remain, the next 8, 64, 512, ... sets are leaders,
 paired only with sets of other components, until every pair of each remaining
 band has been weighed or joined. So no link between components is lost, and
 groups of near copies cost in proportion to their size.
@@ -47,6 +47,8 @@ MANTISSA = 10
 BAND = 6
 ARRANGEMENTS = 4
 MARGIN = 5.0
+#: Growth of the number of leaders of a band from round to round.
+LEADERS = 8
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -65,21 +67,31 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def _arrangements() -> np.ndarray:
+def arrange(width: int, times: int) -> np.ndarray:
+    """The registers of each band: ``times`` shuffles of all registers, cut into bands."""
     rng = np.random.default_rng(6)
-    bands = BUCKETS // BAND
-    return np.concatenate([rng.permutation(BUCKETS)[:bands * BAND].reshape(bands, BAND) for _ in range(ARRANGEMENTS)])
+    bands = BUCKETS // width
+    return np.concatenate([rng.permutation(BUCKETS)[:bands * width].reshape(bands, width) for _ in range(times)])
 
 
-BANDS = _arrangements()
-_ODD = np.random.default_rng(66).integers(1, 1 << 62, BANDS.shape, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BANDS = arrange(BAND, ARRANGEMENTS)
+#: For each bucket, the order in which buckets are asked for a value, itself first.
+PROBES = np.stack([np.append(i, np.random.default_rng([61, i]).permutation(BUCKETS)) for i in range(BUCKETS)])
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """A key per band that holds a value."""
-    taken = regs[BANDS].astype(np.uint64)
-    keys = W.mix((W.mix(taken + np.uint64(1)) * _ODD).sum(axis=1, dtype=np.uint64))
-    return keys[taken.any(axis=1)].view(np.int64)
+def densify(regs: np.ndarray) -> np.ndarray:
+    """Rows of registers whose empty buckets take the value of the first
+    bucket with one in their own probe order. So small sets fill all registers,
+    and any register of two sets agrees with the chance of their similarity."""
+    first = (regs > 0)[:, PROBES].argmax(axis=2)
+    return np.take_along_axis(regs, PROBES[np.arange(BUCKETS), first], axis=1)
+
+
+def band_keys(regs: np.ndarray, bands: np.ndarray) -> np.ndarray:
+    """A key per row of registers and band."""
+    odd = np.random.default_rng(66).integers(1, 1 << 62, bands.shape, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    taken = densify(regs).astype(np.uint64)[:, bands]
+    return W.mix((W.mix(taken + np.uint64(1)) * odd).sum(axis=2, dtype=np.uint64)).view(np.int64)
 
 
 def collision_rate(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -123,15 +135,18 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         _sketches, f"id {kind}, sid bigint, n_shingles bigint, regs binary")
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            # some thousand sets at a time: each gives up to 84 rows
-            for at in range(0, len(batch), 2048):
-                part = batch.slice(at, 2048)
-                keys = [band_keys(np.frombuffer(r, np.uint16)) for r in part.column(1).to_pylist()]
-                sid = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(k) for k in keys])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)) if keys else pa.array([], pa.int64()), pa.array(sid, pa.int64())], ["band", "sid"])
+def _bands(bands: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                # some hundred sets at a time: each gives a row per band
+                for at in range(0, len(batch), 512):
+                    part = batch.slice(at, 512)
+                    regs = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, BUCKETS)
+                    sid = np.repeat(part.column(0).to_numpy(zero_copy_only=False), len(bands))
+                    yield pa.RecordBatch.from_arrays([pa.array(band_keys(regs, bands).reshape(-1)), pa.array(sid, pa.int64())], ["band", "sid"])
+
+    return run
 
 
 def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,10 +182,10 @@ def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     return cut(likely.join(text("a"), "a").join(text("b"), "b").mapInArrow(_confirm, "a bigint, b bigint"))
 
 
-def link_sets(sets: DataFrame, text_of) -> DataFrame:
+def link_sets(sets: DataFrame, text_of, bands: np.ndarray = BANDS) -> DataFrame:
     """``(node, root)`` of all linked sets; ``sets`` has ``(sid, n_shingles,
     regs)``, ``text_of(sids)`` gives ``(sid, text)`` of the asked sets."""
-    members = sets.select("sid", "regs").mapInArrow(_bands, "band bigint, sid bigint")
+    members = sets.select("sid", "regs").mapInArrow(_bands(bands), "band bigint, sid bigint")
     leaders = members.groupBy("band").agg(F.min("sid").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     shared = cut(members.join(leaders, "band"))
     texts = cut(text_of(shared.select("sid").distinct()))
@@ -180,23 +195,27 @@ def link_sets(sets: DataFrame, text_of) -> DataFrame:
     inside = shared.join(roots, F.col("sid") == F.col("node"), "left").select("band", "sid", F.coalesce("root", "sid").alias("root"))
     split = inside.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
     still = split.filter("low <> high AND n > 2").select("band")
-    numbered, left = cut(shared.join(still, "band", "left_semi").selectExpr("band", "sid", "row_number() OVER (PARTITION BY band ORDER BY sid) AS k"),
-                         most=F.max("k"))
-    done, step = 1, 1
+    sized = shared.join(still, "band", "left_semi").join(sets.select("sid", "n_shingles"), "sid")
+    numbered, left = cut(sized.selectExpr("band", "sid", "n_shingles", "row_number() OVER (PARTITION BY band ORDER BY sid) AS k"), most=F.max("k"))
+    done, step = 1, LEADERS
     while done < (left["most"] or 0):
-        here = numbered.join(roots, F.col("sid") == F.col("node"), "left").select("band", "k", "sid", F.coalesce("root", "sid").alias("root"))
-        ahead = here.filter((F.col("k") > done) & (F.col("k") <= done + step)).select("band", F.col("k").alias("lk"), F.col("sid").alias("x"), F.col("root").alias("xr"))
-        pairs = (here.join(ahead, "band").filter("k > lk AND root <> xr")
-                 .select(F.least("x", "sid").alias("a"), F.greatest("x", "sid").alias("b")).distinct())
-        fresh, n = cut(_links(pairs, sets, texts), n=rows())
-        if n["n"]:
-            links = cut(links.unionByName(fresh))
-            roots = components(links)
-        done, step = done + step, step * 2
+        here = numbered.join(roots, F.col("sid") == F.col("node"), "left").select("band", "k", "sid", "n_shingles", F.coalesce("root", "sid").alias("root"))
+        ahead = here.filter((F.col("k") > done) & (F.col("k") <= done + step)).select("band", F.col("k").alias("lk"), F.col("sid").alias("x"), F.col("root").alias("xr"),
+                                                                                             F.col("n_shingles").alias("xn"))
+        # sizes too far apart rule a pair out exactly
+        near = f"least(n_shingles, xn) * {THRESHOLD[1]} >= greatest(n_shingles, xn) * {THRESHOLD[0]}"
+        pairs, asked = cut(here.join(ahead, "band").filter(f"k > lk AND root <> xr AND {near}")
+                           .select(F.least("x", "sid").alias("a"), F.greatest("x", "sid").alias("b")).distinct(), n=rows())
+        if asked["n"]:
+            fresh, found = cut(_links(pairs, sets, texts), n=rows())
+            if found["n"]:
+                links = cut(links.unionByName(fresh))
+                roots = components(links)
+        done, step = done + step, step * LEADERS
     return roots
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bands: np.ndarray = BANDS) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` per row of ``docs``: the class
     of near duplicates named by its smallest id, whose row is kept."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -212,7 +231,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         # rows that share an id: the text must be that of the set
         return found.mapInArrow(_of_set, "sid bigint, text string").groupBy("sid").agg(F.min("text").alias("text"))
 
-    roots = link_sets(sets, text_of)
+    roots = link_sets(sets, text_of, bands)
     low = sets.select("sid", "low").join(roots, F.col("sid") == F.col("node"), "left").select("sid", F.coalesce("root", "sid").alias("root"), "low")
     named_low = low.groupBy("root").agg(F.min("low").alias("component"))
     of_set = cut(low.join(named_low, "root").select(F.col("sid").alias("_sid"), "component"))

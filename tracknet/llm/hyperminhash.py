@@ -14,10 +14,9 @@ and falls under the estimate's margin (5 standard errors) with about 3e-7.
 Not all pairs of a band are made. Equal sets are folded first, so a class of
 exact copies is one set. In a band, every set is paired with the smallest one;
 links join sets to components, and a band whose sets are all in one component
-is done. In the bands that remain, the next 8, 64, 512, ... sets are leaders,
-paired only with sets of other components, until every pair of each remaining
-band has been weighed or joined. So no link between components is lost, and
-groups of near copies cost in proportion to their size.
+is done. In the bands that remain, the sets outside the largest component are
+compared with all others of the band, block by block. So no link between
+components is lost, and groups of near copies cost in proportion to their size.
 
 Defined results: an empty or null text has no shingles and is linked with
 nothing; a text of 1 to 4 words has its whole word sequence as only shingle.
@@ -47,8 +46,8 @@ MANTISSA = 10
 BAND = 6
 ARRANGEMENTS = 4
 MARGIN = 5.0
-#: Growth of the number of leaders of a band from round to round.
-LEADERS = 8
+#: Sets in a block that is compared with another one in a task.
+BLOCK = 256
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -191,28 +190,103 @@ def link_sets(sets: DataFrame, text_of, bands: np.ndarray = BANDS) -> DataFrame:
     texts = cut(text_of(shared.select("sid").distinct()))
     links = _links(shared.filter("sid <> first").select(F.col("first").alias("a"), F.col("sid").alias("b")).distinct(), sets, texts)
     roots = components(links)
-    # bands whose sets are not all in one component by now, their sets numbered from the first on
+    fresh, found = cut(_compare_apart(shared, roots, sets, texts, bands), n=rows())
+    return components(cut(links.unionByName(fresh))) if found["n"] else roots
+
+
+def _compare_apart(shared: DataFrame, roots: DataFrame, sets: DataFrame, texts: DataFrame, bands: np.ndarray) -> DataFrame:
+    """The links between sets of different components that share a band.
+
+    In each band that holds several components, the sets outside its largest
+    one are compared with all of its sets. Both sides are cut into blocks of
+    ``BLOCK`` sets; a task holds two blocks and makes no rows for pairs. Sets of
+    one component are not compared again."""
     inside = shared.join(roots, F.col("sid") == F.col("node"), "left").select("band", "sid", F.coalesce("root", "sid").alias("root"))
-    split = inside.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
-    still = split.filter("low <> high AND n > 2").select("band")
-    sized = shared.join(still, "band", "left_semi").join(sets.select("sid", "n_shingles"), "sid")
-    numbered, left = cut(sized.selectExpr("band", "sid", "n_shingles", "row_number() OVER (PARTITION BY band ORDER BY sid) AS k"), most=F.max("k"))
-    done, step = 1, LEADERS
-    while done < (left["most"] or 0):
-        here = numbered.join(roots, F.col("sid") == F.col("node"), "left").select("band", "k", "sid", "n_shingles", F.coalesce("root", "sid").alias("root"))
-        ahead = here.filter((F.col("k") > done) & (F.col("k") <= done + step)).select("band", F.col("k").alias("lk"), F.col("sid").alias("x"), F.col("root").alias("xr"),
-                                                                                             F.col("n_shingles").alias("xn"))
-        # sizes too far apart rule a pair out exactly
-        near = f"least(n_shingles, xn) * {THRESHOLD[1]} >= greatest(n_shingles, xn) * {THRESHOLD[0]}"
-        pairs, asked = cut(here.join(ahead, "band").filter(f"k > lk AND root <> xr AND {near}")
-                           .select(F.least("x", "sid").alias("a"), F.greatest("x", "sid").alias("b")).distinct(), n=rows())
-        if asked["n"]:
-            fresh, found = cut(_links(pairs, sets, texts), n=rows())
-            if found["n"]:
-                links = cut(links.unionByName(fresh))
-                roots = components(links)
-        done, step = done + step, step * LEADERS
-    return roots
+    parts = inside.groupBy("band", "root").agg(F.count(F.lit(1)).alias("m"))
+    sizes = (parts.groupBy("band").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("all"), F.count(F.lit(1)).alias("k"))
+             .filter("k > 1 AND all > 2").select("band", F.col("top.root").alias("top"), F.col("top.m").alias("n_top"), F.col("all")))
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
+    placed = inside.join(sizes, "band").select(
+        "band", "sid", "root", (F.col("root") == F.col("top")).alias("main"), blocks(F.col("all") - F.col("n_top")).alias("ns"), blocks(F.col("n_top")).alias("ng"))
+    own = F.pmod(F.xxhash64("sid"), F.when(F.col("main"), F.col("ng")).otherwise(F.col("ns"))).cast("int")
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    group = lambda main, i, j, left: F.struct(main.alias("main"), i.alias("i"), j.alias("j"), left.alias("left"))
+    k = F.col("own")
+    to_main = F.transform(upto(F.col("ng")), lambda j: group(F.lit(True), k, j, F.lit(True)))
+    to_rest = F.transform(upto(F.col("ns")), lambda j: group(F.lit(False), F.least(k, j), F.greatest(k, j), k <= j))
+    from_main = F.transform(upto(F.col("ns")), lambda i: group(F.lit(True), i, k, F.lit(False)))
+    dealt = placed.withColumn("own", own).select("band", "sid", "root", F.explode(F.when(F.col("main"), from_main).otherwise(F.concat(to_main, to_rest))).alias("g"))
+    full = dealt.join(sets.select("sid", "n_shingles", "regs"), "sid").join(texts, "sid")
+    keys = ["band", "main", "i", "j"]
+    rows_of = full.select("band", "g.main", "g.i", "g.j", "g.left", "sid", "root", "n_shingles", "regs", "text")
+    return rows_of.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compare_blocks(bands), "a bigint, b bigint").distinct()
+
+
+def _compare_blocks(bands: np.ndarray):
+    want = THRESHOLD[0] / THRESHOLD[1]
+
+    def links_of(key: tuple, group: list[dict]) -> list[tuple[int, int]]:
+        band, main, i, j = key
+        left = [x for x in group if x["left"]]
+        right = left if not main and i == j else [x for x in group if not x["left"]]
+        if not left or not right:
+            return []
+        regs = [np.frombuffer(b"".join(x["regs"] for x in side), np.uint16).reshape(-1, BUCKETS) for side in (left, right)]
+        size = [np.array([x["n_shingles"] for x in side], float) for side in (left, right)]
+        root = [np.array([x["root"] for x in side]) for side in (left, right)]
+        keys = [band_keys(r, bands) for r in regs]
+        known: dict[int, np.ndarray] = {}
+
+        def full(x: dict) -> np.ndarray:
+            if x["sid"] not in known:
+                known[x["sid"]] = W.shingles(np.frombuffer(x["text"].encode(), np.uint8), SHINGLE)
+            return known[x["sid"]]
+
+        out = []
+        for p, x in enumerate(left):
+            n = np.full(len(right), size[0][p])
+            got, used = estimate(np.broadcast_to(regs[0][p], regs[1].shape), regs[1], n, size[1])
+            likely = got + MARGIN * np.sqrt(want * (1 - want) / np.maximum(used, 1)) >= want
+            likely &= np.minimum(n, size[1]) * THRESHOLD[1] >= np.maximum(n, size[1]) * THRESHOLD[0]
+            likely &= root[0][p] != root[1]
+            if right is left:
+                likely[:p + 1] = False
+            at = np.flatnonzero(likely)
+            # a pair is confirmed in the first band that it shares
+            first = bands_first(keys[0][p], keys[1][at])
+            for q in at[keys[0][p][first] == band]:
+                s, t = full(x), full(right[q])
+                common = len(np.intersect1d(s, t, assume_unique=True))
+                if common * THRESHOLD[1] >= (len(s) + len(t) - common) * THRESHOLD[0]:
+                    out.append((min(x["sid"], right[q]["sid"]), max(x["sid"], right[q]["sid"])))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, group = None, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            found = links_of(held, group) if group else []
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for at in range(0, len(batch), 512):
+                    for row in batch.slice(at, 512).to_pylist():
+                        key = (row["band"], row["main"], row["i"], row["j"])
+                        if key != held:
+                            yield from done()
+                            held, group = key, []
+                        group.append(row)
+            yield from done()
+
+    return run
+
+
+def bands_first(keys: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Per row of ``others`` the first band with the key of ``keys``."""
+    return (others == keys).argmax(axis=1)
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bands: np.ndarray = BANDS) -> DataFrame:

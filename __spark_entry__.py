@@ -417,12 +417,12 @@ def _oracles_basic() -> dict[str, str]:
         "SELECT 'Station' AS entity, p.property, p.type, p.non_null FROM (SELECT"
         " count(station_id) AS a, count(name) AS b, count(latitude) AS c, count(longitude) AS d,"
         " count(zone) AS e, count(postcode) AS f FROM nodes) c, LATERAL (VALUES"
-        " ('station_id', 'int', c.a), ('name', 'string', c.b), ('latitude', 'double', c.c),"
+        " ('station_id', 'bigint', c.a), ('name', 'string', c.b), ('latitude', 'double', c.c),"
         " ('longitude', 'double', c.d), ('zone', 'int', c.e), ('postcode', 'string', c.f))"
         " p(property, type, non_null)"
         " UNION ALL SELECT 'relationship', p.property, p.type, p.non_null FROM (SELECT"
         " count(src_id) AS a, count(dst_id) AS b, count(rel_type) AS c FROM relationships) c,"
-        " LATERAL (VALUES ('src_id', 'int', c.a), ('dst_id', 'int', c.b), ('rel_type', 'string', c.c))"
+        " LATERAL (VALUES ('src_id', 'bigint', c.a), ('dst_id', 'bigint', c.b), ('rel_type', 'string', c.c))"
         " p(property, type, non_null)")
     o["validate_graph"] = _w(
         "SELECT 'stations' AS section, 'Station' AS item, count(*) AS value FROM nodes"

@@ -179,23 +179,29 @@ def degree_table(g: GraphTables) -> DataFrame:
     return cut(degree_all(g))
 
 
-def busy_stations(g: GraphTables, threshold: float = 0.9,
-                  deg: DataFrame | None = None) -> DataFrame:
+def _top_degrees(deg: DataFrame, threshold: float) -> DataFrame:
+    """``(connections, cume_dist)`` of the degrees whose cumulative share of
+    stations is at least ``threshold``. The window runs over the histogram of
+    degrees, one row per distinct value."""
+    hist = deg.groupBy("connections").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("connections").rowsBetween(Window.unboundedPreceding, 0)
+    total = deg.agg(F.count(F.lit(1))).scalar()
+    return (hist.select("connections", (F.sum("_n").over(w) / total).alias("cume_dist"))
+            .filter(F.col("cume_dist") >= threshold))
+
+
+def busy_stations(g: GraphTables, threshold: float = 0.9) -> DataFrame:
     """Stations whose degree is in the top decile: cumulative share of
     stations with a degree no higher than theirs is at least ``threshold``.
 
-    The cumulative distribution is computed on the degree histogram (one row
-    per distinct degree value, far fewer than stations) and joined back, so
-    no window ever sorts the whole station set in one task.
+    The share grows with the degree, so being busy is a cut-off: the smallest
+    such degree. Stations are filtered by it before they meet the few
+    histogram rows above it, so the common degrees are not joined at all.
     """
-    deg = deg if deg is not None else degree_table(g)
-    hist = deg.groupBy("connections").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("connections").rowsBetween(Window.unboundedPreceding, 0)
-    total = deg.agg(F.count(F.lit(1))).scalar()
-    cdf = hist.select("connections",
-                      (F.sum("_n").over(w) / total).alias("cume_dist"))
-    return (deg.join(cdf, "connections")
-            .filter(F.col("cume_dist") >= threshold)
+    deg = degree_table(g)
+    top = _top_degrees(deg, threshold)
+    cut_off = top.agg(F.min("connections")).scalar()
+    return (deg.filter(F.col("connections") >= cut_off).join(top, "connections")
             .select("station_id", "name", "connections",
                     F.round("cume_dist", 6).alias("cume_dist")))
 
@@ -204,18 +210,17 @@ def quiet_alternatives(g: GraphTables, per_hub: int = 3, threshold: float = 0.9)
     """For every busy station, up to ``per_hub`` direct neighbours that are not
     busy, least connected first (ties by id).
 
+    Busy and quiet are told apart by the cut-off degree alone.
     ``row_number() <= k`` is planned with a partial group limit before the
     shuffle, so even a hub with a huge neighbour list ships at most k rows
     per map task.
     """
     deg = degree_table(g)
-    busy = busy_stations(g, threshold, deg).select(
-        F.col("station_id").alias("hub_id"), F.col("name").alias("hub_name"))
+    cut_off = _top_degrees(deg, threshold).agg(F.min("connections")).scalar()
+    busy = deg.filter(F.col("connections") >= cut_off).select(F.col("station_id").alias("hub_id"), F.col("name").alias("hub_name"))
     nb = distinct_neighbours(g.relationships).select(
         F.col("station_id").alias("hub_id"), F.col("neighbour_id").alias("station_id"))
-    cand = (nb.join(busy, "hub_id")
-            .join(busy.select(F.col("hub_id").alias("station_id")), "station_id", "left_anti")
-            .join(deg, "station_id"))
+    cand = nb.join(busy, "hub_id").join(deg.filter(F.col("connections") < cut_off), "station_id")
     w = Window.partitionBy("hub_id").orderBy(F.asc("connections"), F.asc("station_id"))
     return (cand.withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= per_hub)

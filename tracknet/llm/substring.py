@@ -55,7 +55,9 @@ CROWD = 256
 
 
 class SuffixAutomaton:
-    """Automaton of a sequence of symbols; ``first[state]`` is where the words of a state first ended."""
+    """Automaton of several sequences of symbols; ``first[state]`` is where the
+    words of a state first ended. Every sequence starts at the root, so no
+    match crosses two of them, and a sequence that is there already adds no state."""
 
     def __init__(self):
         self.next: list[dict] = [{}]
@@ -64,31 +66,40 @@ class SuffixAutomaton:
         self.first = [-1]
         self.last = 0
 
+    def begin(self) -> None:
+        self.last = 0
+
+    def _state(self, moves: dict, link: int, length: int, first: int) -> int:
+        self.next.append(moves)
+        self.link.append(link)
+        self.length.append(length)
+        self.first.append(first)
+        return len(self.next) - 1
+
+    def _reached(self, p: int, symbol) -> int:
+        """The state of ``p``'s longest word with ``symbol`` added, split off from longer words if need be."""
+        nxt, link, length = self.next, self.link, self.length
+        q = nxt[p][symbol]
+        if length[p] + 1 == length[q]:
+            return q
+        copy = self._state(dict(nxt[q]), link[q], length[p] + 1, self.first[q])
+        while p != -1 and nxt[p].get(symbol) == q:
+            nxt[p][symbol] = copy
+            p = link[p]
+        link[q] = copy
+        return copy
+
     def extend(self, symbol, at: int) -> None:
-        nxt, link, length, first = self.next, self.link, self.length, self.first
-        new = len(nxt)
-        nxt.append({})
-        link.append(0)
-        length.append(length[self.last] + 1)
-        first.append(at)
         p = self.last
-        while p != -1 and symbol not in nxt[p]:
-            nxt[p][symbol] = new
-            p = link[p]
+        if symbol in self.next[p]:
+            self.last = self._reached(p, symbol)
+            return
+        new = self._state({}, 0, self.length[p] + 1, at)
+        while p != -1 and symbol not in self.next[p]:
+            self.next[p][symbol] = new
+            p = self.link[p]
         if p != -1:
-            q = nxt[p][symbol]
-            if length[p] + 1 == length[q]:
-                link[new] = q
-            else:
-                copy = len(nxt)
-                nxt.append(dict(nxt[q]))
-                link.append(link[q])
-                length.append(length[p] + 1)
-                first.append(first[q])
-                while p != -1 and nxt[p].get(symbol) == q:
-                    nxt[p][symbol] = copy
-                    p = link[p]
-                link[q] = link[new] = copy
+            self.link[new] = self._reached(p, symbol)
         self.last = new
 
     def earlier_ends(self, symbols, start: int, least: int) -> list[bool]:
@@ -115,13 +126,12 @@ def repeated_windows(segments: list[tuple[int, list]], least: int = WINDOW) -> l
     """Per segment ``(any key, symbols)`` in document order: for each window,
     whether its symbols also stand earlier among the segments."""
     automaton, starts, at = SuffixAutomaton(), [], 0
-    for k, (_, symbols) in enumerate(segments):
+    for _, symbols in segments:
         starts.append(at)
+        automaton.begin()
         for s in symbols:
             automaton.extend(s, at)
             at += 1
-        automaton.extend((k,), at)      # a symbol of its own: no match crosses segments
-        at += 1
     return [automaton.earlier_ends(symbols, start, least)[least - 1:] for (_, symbols), start in zip(segments, starts, strict=True)]
 
 

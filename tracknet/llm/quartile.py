@@ -35,6 +35,7 @@ HEADER = 4           # checksum, length class, two ratios
 LENGTH_WEIGHT, LENGTH_MOST = 8, 64
 RATIO_WEIGHT, RATIO_MOST = 4, 32
 DISTANCE = np.array([0, 1, 2, 6])
+RANGES_PER_TASK = 4
 WORST = 6 * BUCKETS + LENGTH_MOST + 2 * RATIO_MOST
 
 
@@ -121,8 +122,10 @@ def compare_with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     slices = slices or max(2, 4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shares = F.array(*[F.lit(k / slices) for k in range(1, slices)])
-    got = rows.agg(F.percentile_approx("id", shares, F.lit(100 * slices)).alias("cuts"), F.min("id").alias("low"),
+    # several ranges a task, as ranges are dealt by hash: so tasks come out even
+    ranges = RANGES_PER_TASK * slices
+    shares = F.lit([k / ranges for k in range(1, ranges)])
+    got = rows.agg(F.percentile_approx("id", shares, F.lit(100 * ranges)).alias("cuts"), F.min("id").alias("low"),
                    F.count(F.when(F.col("id").isNull(), 1)).alias("nulls")).first()
     low = got["low"]
     # range k holds the ids from bounds[k-1] up to bounds[k]; range 0 starts with the nulls

@@ -88,6 +88,54 @@ def test_many_contexts_of_one_passage(spark, monkeypatch):
     assert got[0].n_removed == 0 and all(got[i].n_removed == 30 for i in range(1, 120))
 
 
+def test_no_shard_holds_all_copies_of_a_passage(spark, monkeypatch):
+    monkeypatch.setattr(S, "CROWD", 16)
+    rng = random.Random(7)
+    passage = [f"p{k}" for k in range(50)]
+    rows = [(i, " ".join([f"a{rng.randrange(10**6)}" for _ in range(9)] + passage + [f"b{rng.randrange(10**6)}" for _ in range(9)])) for i in range(400)]
+    stream = S._stream_shards
+
+    def guarded(batches):
+        def counted():
+            held = {}
+            for batch in batches:
+                for shard in batch.column(0).to_pylist():
+                    held[shard] = held.get(shard, 0) + 1
+                    if held[shard] > 200:
+                        raise ValueError("a shard holds half of the copies")
+                yield batch
+        yield from stream(counted())
+
+    monkeypatch.setattr(S, "_stream_shards", guarded)
+    got = {r.doc_id: r for r in S.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute(rows)
+    assert all((got[i].n_words, got[i].n_removed, got[i].kept_sha256) == w[:3] for i, w in want.items())
+
+
+@pytest.mark.parametrize("crowd", [256, 1])
+def test_repeated_rows_beside_other_contexts(spark, monkeypatch, crowd):
+    monkeypatch.setattr(S, "CROWD", crowd)
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = [(None, "n " + passage + " m"), (1, "a " + passage + " b"), (1, "a " + passage + " b"), (2, "c " + passage + " d")]
+    got = sorted(((r.doc_id, r.n_removed) for r in S.dedup_substrings(spark.createDataFrame(rows[1:], "doc_id long, text string")).collect()), key=str)
+    assert got == [(1, 0), (1, 0), (2, 40)]
+    got = sorted(((r.doc_id, r.n_removed) for r in S.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == [(1, 40), (1, 40), (2, 40), (None, 0)]
+
+
+def test_segments_are_answered_one_by_one():
+    drawn = []
+
+    def segments():
+        for k in range(3):
+            drawn.append(k)
+            yield k, [0, 1, 2]
+
+    answers = iter(S.repeated_windows(segments(), 3))
+    assert next(answers) == [False] and drawn == [0]
+    assert list(answers) == [[True], [True]]
+
+
 def test_long_text_repeated_rows_null_ids_and_empty_table(spark):
     long = " ".join(f"x{k % 5000}" for k in range(30_000))
     same = " ".join(f"y{k}" for k in range(25))
@@ -98,6 +146,13 @@ def test_long_text_repeated_rows_null_ids_and_empty_table(spark):
     assert S.dedup_substrings(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_first_text_of_a_crowded_anchor_stays_as_it_is(spark, monkeypatch):
+    monkeypatch.setattr(S, "CROWD", 1)
+    passage = " ".join(f"p{k}" for k in range(25))
+    docs = spark.createDataFrame([(1, " a\n " + passage + "  b "), (2, " c " + passage + " d ")], "doc_id long, text string")
+    assert sorted(r.text for r in S.remove_repeats(docs).collect()) == [" a\n " + passage + "  b ", "c d"]
+
+
 def test_stage_keeps_the_table_shape(spark):
     passage = " ".join(f"p{k}" for k in range(25))
     docs = spark.createDataFrame([(1, "start\n " + passage, "en", 0, "x"), (2, "a  b\n" + passage + "\n c", "en", 0, "y"), (3, None, None, None, None)],

@@ -18,9 +18,14 @@ quadratic. So shards are routed by content instead of being broadcast whole:
 2. Anchors that stand in one place only are dropped (a pre-aggregated count).
 3. Segments of equal words are folded: all but the first are removed whole.
 4. Where an anchor has segments of different words, the first ones are routed
-   to the anchor's shard; an anchor with very many of them is split further by
-   the hashes of the windows themselves. Shards hold about ``SHARD_WORDS``
-   words. The automata find the windows that different segments share.
+   to the anchor's shard. Shards hold about ``SHARD_WORDS`` words. The automata
+   find the windows that different segments share.
+5. An anchor with very many different segments, or very long ones, goes to no
+   shard: a passage that stands in N documents gives about N of them, since the
+   words around it differ, and all share its windows. Each of their windows
+   becomes a row; the first place of a window is a pre-aggregated minimum, and
+   of these segments only the windows at a first place stay. So no task holds
+   the segments of one anchor or the places of one window.
 
 Every window of every text takes part; nothing is sampled or capped. Rows
 travel as hashes; texts cross the network twice (to cut out the segments and
@@ -35,7 +40,8 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +56,8 @@ ANCHOR = 8
 SHARD_WORDS = 200_000
 #: 8-word runs in a window.
 SPAN = WINDOW - ANCHOR + 1
-#: Segments of different words under one anchor from which the anchor is split.
+#: Segments of different words, or that many times the words of a longest usual
+#: one, that an anchor may have in a shard; with more, its windows are taken one by one.
 CROWD = 256
 
 
@@ -122,17 +129,19 @@ class SuffixAutomaton:
         return out
 
 
-def repeated_windows(segments: list[tuple[int, list]], least: int = WINDOW) -> list[list[bool]]:
+def repeated_windows(segments: Iterable[tuple], least: int = WINDOW) -> Iterator[list[bool]]:
     """Per segment ``(any key, symbols)`` in document order: for each window,
-    whether its symbols also stand earlier among the segments."""
-    automaton, starts, at = SuffixAutomaton(), [], 0
+    whether its symbols also stand earlier among the segments. Where words
+    first ended does not change as later segments come, so each segment is
+    answered as soon as it is in the automaton and none is held."""
+    automaton, at = SuffixAutomaton(), 0
     for _, symbols in segments:
-        starts.append(at)
+        start = at
         automaton.begin()
         for s in symbols:
             automaton.extend(s, at)
             at += 1
-    return [automaton.earlier_ends(symbols, start, least)[least - 1:] for (_, symbols), start in zip(segments, starts, strict=True)]
+        yield automaton.earlier_ends(symbols, start, least)[least - 1:]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +207,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pieces(shards: int):
-    """Cuts the asked segments out of their texts, splitting those of crowded anchors by window hash."""
+    """Cuts the asked segments out of their texts; those of crowded anchors become a row per window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -208,14 +217,17 @@ def _pieces(shards: int):
                 for i, tag, segs, raw in zip(ids, tags, asked, W.text_bytes(batch.column(2)), strict=True):
                     h = _hashes(raw)
                     for s in segs:
-                        start, n, parts = s["start"], s["n"], s["parts"]
-                        sub = np.zeros(n, np.int64)
-                        if parts > 1:
-                            sub = (W.windows(h[start:start + n + WINDOW - 1], WINDOW) % np.uint64(parts)).astype(np.int64)
-                        cuts = [0, *(np.flatnonzero(sub[1:] != sub[:-1]) + 1).tolist(), n]
-                        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                            shard = hash((s["anchor"], int(sub[a]))) % shards
-                            out.append((shard, i, tag, start + a, h[start + a:start + b + WINDOW - 1].tobytes()))
+                        anchor, start, n = s["anchor"], s["start"], s["n"]
+                        words = h[start:start + n + WINDOW - 1]
+                        if not s["crowded"]:
+                            out.append((hash(anchor) % shards, i, tag, start, words.tobytes(), None, None))
+                            continue
+                        whole = W.windows(words, WINDOW).view(np.int64)
+                        for a in range(0, n, 4096):
+                            out += [(None, i, tag, start + a + k, None, anchor, w) for k, w in enumerate(whole[a:a + 4096].tolist())]
+                            if len(out) >= 4096:
+                                yield _piece_rows(out)
+                                out = []
                     if len(out) >= 4096:
                         yield _piece_rows(out)
                         out = []
@@ -227,35 +239,51 @@ def _pieces(shards: int):
 
 def _piece_rows(out: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*out, strict=True))
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["shard", "id", "tag", "start", "words"])
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["shard", "id", "tag", "start", "words", "anchor", "window"])
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple, bytes]]:
+    """Shard, place and words of each piece; rows equal in id and text have one place, which comes once."""
+    last = None
+    for batch in batches:
+        for at in range(0, len(batch), 512):
+            for row in batch.slice(at, 512).to_pylist():
+                place = (row["id"], row["tag"], row["start"])
+                if (row["shard"], place) != last:
+                    yield row["shard"], place, row["words"]
+                last = (row["shard"], place)
 
 
 def _stream_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Builds the automaton of each shard and streams the shard's segments through it."""
-    held, segments = None, []
-
-    def done() -> Iterator[pa.RecordBatch]:
-        out = []
-        for ((i, tag, start), _), again in zip(segments, repeated_windows([(k, w.tolist()) for k, w in segments]), strict=True):
-            flags = np.concatenate(([0], np.array(again, np.int8), [0]))
-            step = np.diff(flags)
-            out += [(i, tag, start + int(a), int(b - a)) for a, b in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1), strict=True)]
-        if out:
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["id", "tag", "start", "n"])
+    """Puts the pieces of each shard into its automaton and streams each through it at once."""
 
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["shard"] != held:
-                yield from done()
-                held, segments = row["shard"], []
-            segments.append(((row["id"], row["tag"], row["start"]), np.frombuffer(row["words"], np.uint64)))
-    yield from done()
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["id", "tag", "start", "n"])
+
+    out: list[tuple] = []
+    for _, pieces in groupby(_placed(batches), lambda piece: piece[0]):
+        place: list = [None]
+
+        def segments(pieces=pieces, place=place) -> Iterator[tuple]:
+            for _, place[0], words in pieces:
+                yield place[0], np.frombuffer(words, np.uint64).tolist()
+
+        for again in repeated_windows(segments()):
+            i, tag, start = place[0]
+            step = np.diff(np.concatenate(([0], np.array(again, np.int8), [0])))
+            out += [(i, tag, start + int(a), int(b - a)) for a, b in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1), strict=True)]
+            if len(out) >= 4096:
+                yield rows(out)
+                out = []
+    if out:
+        yield rows(out)
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
-    """``(id, tag, spans)``: the repeated windows of each document of ``(id, tag, text)`` as ``(start, n)`` runs."""
+    """``(id, tag, spans)``: the repeated windows of each document of ``(id, tag, text)`` as runs
+    ``(start, n, first)``; the runs marked ``first`` are exceptions from the others and stay."""
     spark = rows.sparkSession
     often = rows.mapInArrow(_anchors, "anchor bigint").groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("anchor")
     schema = "anchor bigint, content bigint, id bigint, tag bigint, start int, n int, again boolean"
@@ -266,26 +294,36 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     several = folded.filter("c > 1").select("anchor", "content", "first")
     copies = shared.join(several, ["anchor", "content"]).filter(~place.eqNullSafe(F.col("first"))).select("id", "tag", "start", "n")
     # anchors with segments of different words, or with one that may repeat itself
-    crowd = folded.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.max("again").alias("again")).filter("m > 1 OR again").drop("again")
+    words = F.col("n").cast("bigint") + (WINDOW - 1)
+    crowd = folded.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.sum(words).alias("held"), F.max("again").alias("again")) \
+        .filter("m > 1 OR again").select("anchor", ((F.col("m") > CROWD) | (F.col("held") > CROWD * (SPAN + WINDOW - 1))).alias("crowded"))
     asked, size = cut(folded.join(crowd, "anchor").select(
-        "first.id", "first.tag", F.struct("anchor", "first.start", "n", F.ceil(F.col("m") / CROWD).cast("int").alias("parts")).alias("seg"), "n"),
-        words=F.sum(F.col("n") + WINDOW - 1))
+        "first.id", "first.tag", F.struct("anchor", "first.start", "n", "crowded").alias("seg"), "n", "crowded"),
+        words=F.sum(F.when(~F.col("crowded"), words)))
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size["words"] / SHARD_WORDS))
     by_doc = asked.groupBy("id", "tag").agg(F.collect_list("seg").alias("segs"))
     cuts = rows.join(by_doc, rows["id"].eqNullSafe(by_doc["id"]) & (rows["tag"] == by_doc["tag"])).select(rows["id"], rows["tag"], "text", "segs")
-    pieces = cuts.mapInArrow(_pieces(shards), "shard int, id bigint, tag bigint, start int, words binary")
-    routed = pieces.repartition(shards, "shard").sortWithinPartitions("shard", F.col("id").asc_nulls_first(), "tag", "start")
+    pieces = cut(cuts.mapInArrow(_pieces(shards), "shard int, id bigint, tag bigint, start int, words binary, anchor bigint, window bigint"))
+    routed = pieces.filter("shard IS NOT NULL").select("shard", "id", "tag", "start", "words") \
+        .repartition(shards, "shard").sortWithinPartitions("shard", F.col("id").asc_nulls_first(), "tag", "start")
     found = routed.mapInArrow(_stream_shards, "id bigint, tag bigint, start int, n int")
-    return found.unionByName(copies).groupBy("id", "tag").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    # crowded anchors: the segments go, but for the windows that stand here first
+    crowded = asked.filter("crowded").select("id", "tag", "seg.start", "n")
+    firsts = pieces.filter("window IS NOT NULL").groupBy("anchor", "window").agg(F.min(place).alias("at")).select("at.*", F.lit(1).alias("n"), F.lit(True).alias("first"))
+    gone = found.unionByName(copies).unionByName(crowded).withColumn("first", F.lit(False))
+    return gone.unionByName(firsts).groupBy("id", "tag").agg(F.collect_list(F.struct("start", "n", "first")).alias("spans"))
 
 
 def keep_first(raw: np.ndarray, spans: list[dict] | None) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
     """Words and removed words of a text, first byte and end of each word, and which words are kept."""
     starts, ends = W.word_spans(raw)
+    again = np.zeros(len(starts) + 1, np.int8)
+    for s in sorted(spans or (), key=lambda s: s["first"]):
+        again[s["start"]:s["start"] + s["n"]] = not s["first"]
+    edge = np.diff(again, prepend=np.int8(0))
     step = np.zeros(len(starts) + 1, np.int64)
-    for s in spans or ():
-        step[s["start"]] += 1
-        step[s["start"] + s["n"] + WINDOW - 1] -= 1
+    step[np.flatnonzero(edge == 1)] += 1
+    step[np.flatnonzero(edge == -1) + WINDOW - 1] -= 1
     kept = np.cumsum(step[:-1]) == 0
     return len(starts), int((~kept).sum()), starts, ends, kept
 
@@ -348,7 +386,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 part = batch.slice(at, 512)
                 texts = []
                 for raw, spans in zip(W.text_bytes(part.column("text")), part.column("spans").to_pylist(), strict=True):
-                    texts.append((remaining_text(raw, *keep_first(raw, spans)[2:]) if spans else raw.tobytes()).decode())
+                    gone, *cut_out = keep_first(raw, spans)[1:] if spans else (0,)
+                    texts.append((remaining_text(raw, *cut_out) if gone else raw.tobytes()).decode())
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
     out = spanned.mapInArrow(run, f"row {spanned.schema['row'].dataType.simpleString()}, text string")

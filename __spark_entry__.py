@@ -50,8 +50,10 @@ LINE = "1_AND_URGENT"
 LINE_B = "2_AND_HIGH"
 RAW_LINE = "5 & LOW"
 NAMED_STATION = "Customer#000000001"
-HUBS = 5            # journeys start at the five busiest stations
-BOUND = 2           # hop bound of the bounded shortest path
+HUBS = 50           # journeys start at the fifty busiest stations
+BOUND = 5           # hop bound of the bounded shortest path
+NAMED_PAIRS = [("Customer#000000001", "Customer#000000002"), ("Customer#000000004", "Customer#000000149"),
+               ("Customer#000000130", "Customer#000000010"), ("Customer#000000001", "Customer#000000010")]
 K_HOPS = 2          # neighbourhood expansion depth
 ID_PREFIX = "tracknet"
 
@@ -139,6 +141,12 @@ def shortest_path_pairs(s: SparkSession, sf: str) -> DataFrame:
     return P.shortest_paths(g, pairs).select("from_name", "to_name", "hops", "route", "lines")
 
 
+def shortest_path_named(s: SparkSession, sf: str) -> DataFrame:
+    """Route and lines between named stations, at most ``BOUND`` hops."""
+    pairs = s.createDataFrame(NAMED_PAIRS, "from_name string, to_name string")
+    return P.shortest_paths(_g(s, sf), pairs, max_hops=BOUND).select("from_name", "to_name", "hops", "route", "lines")
+
+
 def _zone_partition(g) -> DataFrame:
     return g.nodes.select("station_id", F.col("zone").alias("community"))
 
@@ -148,6 +156,7 @@ def _queries_graph() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["shortest_path_hops"] = lambda s, sf: _reach(s, sf)
     q["shortest_path_bounded"] = lambda s, sf: _reach(s, sf, BOUND)
     q["shortest_path_pairs"] = shortest_path_pairs
+    q["shortest_path_named"] = shortest_path_named
     q["path_lines_used"] = lambda s, sf: _reach(s, sf, None, True)
     q["k_hop_neighbourhood"] = lambda s, sf: P.k_hop_neighbourhood(_g(s, sf), [NAMED_STATION], K_HOPS)
     q["trace_line"] = lambda s, sf: P.trace_line(_g(s, sf))
@@ -501,6 +510,25 @@ paths(s, v, hops, route, lines) AS (
         f" SELECT a.name AS from_name, b.name AS to_name, p.hops, p.route, p.lines FROM paths p"
         f" JOIN nodes a ON a.station_id = p.s JOIN nodes b ON b.station_id = p.v"
         f" WHERE p.hops > 0 AND b.zone = {ZONE}")
+    named = ", ".join(f"('{a}', '{b}')" for a, b in NAMED_PAIRS)
+    starts = ", ".join(f"'{a}'" for a, _ in NAMED_PAIRS)
+    o["shortest_path_named"] = _wr(
+        ADJ_CTES + _walk_ctes(f"SELECT station_id FROM nodes WHERE name IN ({starts})", BOUND) + """,
+pred AS (
+  SELECT d.s, d.v, min(x.a) AS p FROM dist d JOIN adj x ON x.b = d.v
+  JOIN dist e ON e.s = d.s AND e.v = x.a AND e.hops = d.hops - 1
+  WHERE d.hops > 0 GROUP BY d.s, d.v),
+tree AS (SELECT p.s, p.v, p.p, x.line FROM pred p JOIN adj x ON x.a = p.p AND x.b = p.v),
+paths(s, v, hops, route, lines) AS (
+  SELECT station_id, station_id, 0, CAST(station_id AS VARCHAR), '' FROM srcs
+  UNION ALL
+  SELECT t.s, t.v, p.hops + 1, p.route || '>' || CAST(t.v AS VARCHAR),
+         CASE WHEN p.lines = '' THEN t.line ELSE p.lines || '>' || t.line END
+  FROM paths p JOIN tree t ON t.s = p.s AND t.p = p.v)"""
+        f" SELECT a.name AS from_name, b.name AS to_name, p.hops, p.route, p.lines FROM paths p"
+        f" JOIN nodes a ON a.station_id = p.s JOIN nodes b ON b.station_id = p.v"
+        f" JOIN (VALUES {named}) w(from_name, to_name) ON w.from_name = a.name AND w.to_name = b.name"
+        f" WHERE p.hops > 0")
     o["k_hop_neighbourhood"] = _wr(
         ADJ_CTES + _walk_ctes(f"SELECT station_id FROM nodes WHERE name = '{NAMED_STATION}'", K_HOPS)
         + "SELECT d.s AS src_id, d.v AS station_id, n.name, d.hops FROM dist d"

@@ -117,3 +117,13 @@ def test_token_counts_of_documents_and_of_none(spark):
     empty = T.token_counts(docs.limit(0), PATH, PATTERN)
     assert empty.collect() == [] and T.quantile(empty, 0.5).first().n_tokens is None
     assert T.truncated_totals(empty, spark.createDataFrame([(5,)], "limit long")).first().total == 0
+
+
+def test_many_limits_are_not_merged_in_one_task(spark):
+    lengths = [3, 3, 70, 1030, 5000]
+    sums = T.suffix_sums(spark.createDataFrame([(x, lengths.count(x)) for x in sorted(set(lengths))], "n_tokens long, n_docs long"))
+    limits = [*range(-3, 6000, 7), 5, 5, 10**9]
+    out = T.truncated_totals(sums, spark.createDataFrame([(x,) for x in [*limits, None]], "limit long"))
+    assert sorted((r.limit, r.total) for r in out.collect()) == sorted((x, sum(min(n, x) for n in lengths)) for x in limits)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "windowspecdefinition(at#" not in plan and "windowspecdefinition(_at#" not in plan

@@ -54,14 +54,22 @@ def truncated_totals(sums: DataFrame, limits: DataFrame, col: str = "limit") ->
     """``(limit, total)``: tokens left when every document is cut at the limit.
     The first length at or above a limit decides: all shorter documents whole,
     the others ``limit`` tokens each."""
-    # limits and lengths are merged in one ordered pass instead of a range join
-    marks = sums.select(F.col("n_tokens").alias("at"), F.lit(None).cast("bigint").alias("limit"), "docs_from", "tokens_below").unionByName(
-        limits.select(F.col(col).cast("bigint").alias("at"), F.col(col).cast("bigint").alias("limit"),
-                      F.lit(None).cast("bigint").alias("docs_from"), F.lit(None).cast("bigint").alias("tokens_below")))
-    near = Window.orderBy("at", F.col("limit").asc_nulls_last()).rowsBetween(0, Window.unboundedFollowing)
     total = sums.agg(F.coalesce(F.sum(F.col("n_tokens") * F.col("n_docs")), F.lit(0)).alias("t")).scalar()
-    found = marks.select("limit", F.first("docs_from", ignorenulls=True).over(near).alias("d"), F.first("tokens_below", ignorenulls=True).over(near).alias("b"))
-    return found.filter("limit IS NOT NULL").select(F.col("limit"), F.coalesce(F.col("b") + F.col("limit") * F.col("d"), total).alias("total"))
+    most = sums.agg(F.coalesce(F.max("n_tokens"), F.lit(-1)).cast("bigint").alias("m")).scalar()
+    # no more places than lengths up to the longest: a block has at most BLOCK of them, however many limits there are
+    asked = limits.select(F.col(col).cast("bigint").alias("limit")).filter("limit IS NOT NULL") \
+        .withColumn("_at", F.least(F.greatest("limit", F.lit(0).cast("bigint")), most + 1))
+    none = F.lit(None).cast("bigint")
+    marks = sums.select(F.col("n_tokens").cast("bigint").alias("_at"), F.lit(False).alias("_asked"), F.struct(F.col("docs_from").alias("d"), F.col("tokens_below").alias("b")).alias("_l")) \
+        .unionByName(asked.select("_at").distinct().select("_at", F.lit(True).alias("_asked"), F.when(F.lit(False), F.struct(none.alias("d"), none.alias("b"))).alias("_l")))
+    marks = marks.withColumn("_block", F.floor(F.col("_at") / BLOCK))
+    inside = Window.partitionBy("_block").orderBy("_at", F.desc("_asked")).rowsBetween(0, Window.unboundedFollowing)
+    after = Window.orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
+    blocks = marks.groupBy("_block").agg(F.min_by("_l", F.when(~F.col("_asked"), F.col("_at"))).alias("_f"))
+    later = blocks.select("_block", F.first("_f", ignorenulls=True).over(after).alias("_later"))
+    found = marks.select("_block", "_at", "_asked", F.first("_l", ignorenulls=True).over(inside).alias("_here")).filter("_asked") \
+        .join(later, "_block").select("_at", F.coalesce("_here", "_later").alias("_l"))
+    return asked.join(found, "_at").select("limit", F.coalesce(F.col("_l.b") + F.col("limit") * F.col("_l.d"), total).alias("total"))
 
 
 def quantile(sums: DataFrame, q: float) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tracknet.llm import bpe, hyperminhash, mixing, quality, quartile, substring, token_counts, toxicity, url_filter, warc
+from tracknet.llm import bpe, hyperminhash, mixing, quality, quartile, runs, simhash, substring, token_counts, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -288,6 +288,40 @@ SELECT doc_id, size, source_size, target, copies * size AS taken FROM mix{mixing
 """
 
 
+# ------------------------------------------------------- 12: periodic runs
+
+WORDS = r"[^\x20\x09-\x0D]+"
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``; about a tenth of the texts repeat a period from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(WORDS), F.lit(0))
+    d = docs.select("doc_id", "text", h.alias("h")).withColumn("g", F.floor(F.col("h") / 10)) \
+        .withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("words"))
+    a = F.col("g") % F.col("n")
+    d = d.withColumn("a", F.when(F.col("n") > 0, a)).withColumn("p", F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + F.col("g") % 8)))
+    source = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    repeated = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("words", source(i).cast("int")))
+    return d.select("doc_id", F.when(F.col("n") > 0, F.concat_ws(" ", repeated)).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = F.col("strongest")
+    return found.select(F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+                        best["period"].alias("period"), F.expr("strongest.length * 1000 div strongest.period").alias("exponent_milli"),
+                        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+# --------------------------------------------- 13: SimHash near-duplicates
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.simhash_classes(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -300,6 +334,8 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_fingerprints": op9_fingerprints,
         "op10_mixing": op10_mixing,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_simhash": op13_simhash,
     }
 
 

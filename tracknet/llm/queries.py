@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tracknet.llm import bpe, hyperminhash, mixing, quality, quartile, runs, simhash, substring, token_counts, toxicity, url_filter, warc
+from tracknet.llm import alignment, bpe, hyperminhash, mixing, quality, quartile, runs, simhash, substring, token_counts, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -288,6 +288,16 @@ SELECT doc_id, size, source_size, target, copies * size AS taken FROM mix{mixing
 """
 
 
+# ----------------------------------------- 11: cross-tokenizer alignment
+
+TOKENIZERS = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+
+
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align_documents(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, TOKENIZERS))
+    return aligned.withColumnRenamed("id", "doc_id")
+
+
 # ------------------------------------------------------- 12: periodic runs
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -334,6 +344,7 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_fingerprints": op9_fingerprints,
         "op10_mixing": op10_mixing,
+        "op11_alignment": op11_alignment,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_simhash": op13_simhash,
     }

@@ -129,8 +129,12 @@ def _hubs(g) -> DataFrame:
 def _reach(s, sf, max_hops=None, paths=False):
     g = _g(s, sf)
     r = P.reach_from(g, _hubs(g), max_hops, paths)
-    cols = ["src_id", "dst_id", "hops"] + (["route", "lines"] if paths else [])
-    return r.select(*cols)
+    return r.select("src_id", "dst_id", "hops", *(_spelled() if paths else []))
+
+
+def _spelled() -> list:
+    """Route and lines of a path as strings."""
+    return [F.array_join(F.col("stations").cast("array<string>"), ">").alias("route"), F.array_join("lines", ">").alias("lines")]
 
 
 def shortest_path_pairs(s: SparkSession, sf: str) -> DataFrame:
@@ -138,13 +142,13 @@ def shortest_path_pairs(s: SparkSession, sf: str) -> DataFrame:
     g = _g(s, sf)
     pairs = g.nodes.filter(F.col("zone") == ZONE).select(
         F.lit(NAMED_STATION).alias("from_name"), F.col("name").alias("to_name"))
-    return P.shortest_paths(g, pairs).select("from_name", "to_name", "hops", "route", "lines")
+    return P.shortest_paths(g, pairs).select("from_name", "to_name", "hops", *_spelled())
 
 
 def shortest_path_named(s: SparkSession, sf: str) -> DataFrame:
-    """Route and lines between named stations, at most ``BOUND`` hops."""
+    """Route and lines, as lists, between named stations, at most ``BOUND`` hops."""
     pairs = s.createDataFrame(NAMED_PAIRS, "from_name string, to_name string")
-    return P.shortest_paths(_g(s, sf), pairs, max_hops=BOUND).select("from_name", "to_name", "hops", "route", "lines")
+    return P.shortest_paths(_g(s, sf), pairs, max_hops=BOUND).select("from_name", "to_name", "hops", "stations", "lines")
 
 
 def _zone_partition(g) -> DataFrame:
@@ -519,13 +523,12 @@ pred AS (
   JOIN dist e ON e.s = d.s AND e.v = x.a AND e.hops = d.hops - 1
   WHERE d.hops > 0 GROUP BY d.s, d.v),
 tree AS (SELECT p.s, p.v, p.p, x.line FROM pred p JOIN adj x ON x.a = p.p AND x.b = p.v),
-paths(s, v, hops, route, lines) AS (
-  SELECT station_id, station_id, 0, CAST(station_id AS VARCHAR), '' FROM srcs
+paths(s, v, hops, stations, lines) AS (
+  SELECT station_id, station_id, 0, [station_id], CAST([] AS VARCHAR[]) FROM srcs
   UNION ALL
-  SELECT t.s, t.v, p.hops + 1, p.route || '>' || CAST(t.v AS VARCHAR),
-         CASE WHEN p.lines = '' THEN t.line ELSE p.lines || '>' || t.line END
+  SELECT t.s, t.v, p.hops + 1, list_append(p.stations, t.v), list_append(p.lines, t.line)
   FROM paths p JOIN tree t ON t.s = p.s AND t.p = p.v)"""
-        f" SELECT a.name AS from_name, b.name AS to_name, p.hops, p.route, p.lines FROM paths p"
+        f" SELECT a.name AS from_name, b.name AS to_name, p.hops, p.stations, p.lines FROM paths p"
         f" JOIN nodes a ON a.station_id = p.s JOIN nodes b ON b.station_id = p.v"
         f" JOIN (VALUES {named}) w(from_name, to_name) ON w.from_name = a.name AND w.to_name = b.name"
         f" WHERE p.hops > 0")

@@ -173,7 +173,7 @@ def test_filters_and_columns_reach_the_scan(spark, tiny):
     g = GraphTables(spark.read.parquet(path), tiny.relationships)
     plan = L.stations_in_zone(g, 1)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(zone), EqualTo(zone,1)]" in plan
-    assert "ReadSchema: struct<station_id:int,name:string,zone:int>" in plan
+    assert "ReadSchema: struct<station_id:bigint,name:string,zone:int>" in plan
 
 
 def test_quiet_alternatives_limits_before_shuffle(tiny):

@@ -60,21 +60,16 @@ def rows() -> Column:
 
 
 class LoopGuard:
-    """Stops a loop after ``limit`` rounds and reports whether it converged."""
+    """Counts the rounds of a loop and ends it after ``limit`` of them."""
 
-    def __init__(self, limit: int, name: str = "loop"):
+    def __init__(self, limit: int | None, name: str = "loop"):
         if limit is not None and limit < 0:
-            raise ValueError("round limit must be non-negative")
+            raise ValueError(f"{name}: round limit must be non-negative")
         self.limit = limit
-        self.name = name
         self.rounds = 0
-        self.converged = False
 
     def next_round(self) -> bool:
         if self.limit is not None and self.rounds >= self.limit:
             return False
         self.rounds += 1
         return True
-
-    def done(self) -> None:
-        self.converged = True

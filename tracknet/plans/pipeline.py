@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracknet.operators.model import (
-    GraphTables,
     build_relationships,
     clean_connections,
     clean_stations,
@@ -22,6 +22,7 @@ from tracknet.operators.model import (
 from tracknet.operators.schema import validate_graph
 from tracknet.sources import store
 from tracknet.sources.csv import observed, read_connections, read_stations
+from tracknet.sources.snapshots import GraphStore
 
 
 @dataclass
@@ -40,17 +41,17 @@ class LoadResult:
 
 
 def run_pipeline(spark: SparkSession, stations_path: str, connections_path: str,
-                 database: str, clear_first: bool = True) -> LoadResult:
-    """Load the source files into the graph tables of ``database``.
+                 database: str, clear_first: bool = True, after_step: Callable[[str], None] | None = None) -> LoadResult:
+    """Load the source files into the graph of ``database``.
 
     Nodes are always reduced by key; connections are resolved against the
-    stored nodes, so an incremental load (``clear_first=False``) links to
-    stations of earlier loads. With ``clear_first`` the new tables replace
-    the old ones, each only once it is completely written: a load that fails
-    leaves the old graph, not an empty one. Rows that do not make it into the
-    graph are appended, under the load's id, to ``quarantine`` (connections)
-    and ``station_quarantine``. Row counts are observed on the writes and
-    checked against what the tables hold afterwards.
+    nodes of the new version, so an incremental load (``clear_first=False``)
+    links to stations of earlier loads. Everything is written and checked
+    first; the version's pointer is the last write (see ``sources.snapshots``),
+    so a load that fails at any step leaves the old graph whole, and an
+    incremental load rewrites no old relationship. Rows that do not make it into
+    the graph are appended, under the load's id, to ``quarantine`` (connections)
+    and ``station_quarantine``. ``after_step`` is told each step when it is done.
     """
     secs: dict[str, float] = {}
     marks = [time.time()]
@@ -58,35 +59,43 @@ def run_pipeline(spark: SparkSession, stations_path: str, connections_path: str,
     def lap(step: str) -> None:
         marks.append(time.time())
         secs[step] = marks[-1] - marks[-2]
+        if after_step:
+            after_step(step)
 
     load_id = uuid.uuid4().hex
-    store.ensure_database(spark, database)
+    graphs = GraphStore(spark, database)
     names = {k: f"{database}.{k}" for k in
              ("stations", "tube_lines", "nodes", "relationships", "quarantine", "station_quarantine")}
-    held = {k: store.table_rows(spark, names[k]) for k in ("nodes", "relationships")} if clear_first else None
+    for k in ("stations", "tube_lines"):
+        store.recover_table(spark, names[k])
+    old = graphs.current()
+    held = graphs.counts() if clear_first else None
     lap("before")
 
     raw_st, st_obs = observed(read_stations(spark, stations_path), "stations_source")
     raw_cn, cn_obs = observed(read_connections(spark, connections_path), "connections_source")
     n_st = store.save_table(clean_stations(raw_st), names["stations"], verify=True)
+    lap("stations")
     n_cn = store.save_table(raw_cn, names["tube_lines"], verify=True)
     rejected = rejected_stations(read_stations(spark, stations_path)).withColumn("load_id", F.lit(load_id))
     n_rejected = store.save_table(rejected, names["station_quarantine"], mode="append", verify=True)
     lap("tables")
 
     incoming = station_nodes(spark.table(names["stations"]))
-    keep_old = not clear_first and spark.catalog.tableExists(names["nodes"])
-    existing = spark.table(names["nodes"]) if keep_old else incoming.limit(0)
-    n_nodes = store.save_nodes(upsert_nodes(existing, incoming.select(*existing.columns)), names["nodes"])
+    keep_old = not clear_first and old is not None and old.nodes is not None
+    existing = graphs.graph(old).nodes if keep_old else incoming.limit(0)
+    n_nodes = graphs.write_nodes(upsert_nodes(existing, incoming.select(*existing.columns)), load_id)
     lap("nodes")
 
     connections = clean_connections(spark.table(names["tube_lines"]))
-    nodes = spark.table(names["nodes"])
-    n_rel = store.save_relationships(build_relationships(connections, nodes), names["relationships"],
-                                     mode="overwrite" if clear_first else "append", verify=True)
+    nodes = graphs.part_nodes(load_id)
+    n_rel = graphs.write_relationships(build_relationships(connections, nodes), load_id)
+    lap("relationships")
     unmatched = unmatched_connections(connections, nodes).withColumn("load_id", F.lit(load_id))
     n_q = store.save_table(unmatched, names["quarantine"], mode="append", verify=True)
-    lap("relationships")
+    lap("quarantine")
+    version = graphs.publish(load_id, load_id, [*(old.relationships if keep_old else ()), load_id])
+    lap("published")
 
     counts = {
         "source_stations": st_obs.get.get("rows", n_st),
@@ -95,7 +104,6 @@ def run_pipeline(spark: SparkSession, stations_path: str, connections_path: str,
         "relationships": n_rel, "quarantined": n_q, "stations_rejected": n_rejected,
     }
     if held is not None:
-        counts["deleted_nodes"], counts["deleted_relationships"] = held["nodes"], held["relationships"]
+        counts["deleted_nodes"], counts["deleted_relationships"] = held
     secs["total"] = marks[-1] - marks[0]
-    stored = GraphTables(nodes, spark.table(names["relationships"]))
-    return LoadResult(load_id, names, counts, secs, validate_graph(stored))
+    return LoadResult(load_id, names, counts, secs, validate_graph(graphs.graph(version)))

@@ -8,6 +8,7 @@ engines compute each answer from the raw parquet independently.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from importlib import import_module
 from importlib.util import find_spec
@@ -21,8 +22,9 @@ from tracknet.operators import community as CM
 from tracknet.operators import lookup as L
 from tracknet.operators import paths as P
 from tracknet.operators import schema as S
-from tracknet.functions.names import catalog_from_path, schema_from_path, user_identifier
+from tracknet.functions.names import catalog_from_path, rel_type_name, schema_from_path, user_identifier
 from tracknet.operators import model as M
+from tracknet.plans.pipeline import run_pipeline
 from tracknet.plans.session import scratch_path
 from tracknet.plans.sql import run_query
 from tracknet.sources import csv as CSV
@@ -62,6 +64,11 @@ def _g(spark: SparkSession, sf: str):
     return T.load_graph(spark, sf)
 
 
+def _x(spark: SparkSession, sf: str):
+    """The extended network: with unconnected, one-neighbour and like-named stations."""
+    return T.load_graph(spark, sf, extended=True)
+
+
 def busiest_top10(spark: SparkSession, sf: str) -> DataFrame:
     return A.top_busiest(A.degree_all(_g(spark, sf)), 10)
 
@@ -76,11 +83,21 @@ def _names_on_raw_line(spark, sf, side):
     return c.filter(F.col("tube_line") == RAW_LINE).select(F.col(side).alias("name"))
 
 
+def _search_terms(s, sf) -> DataFrame:
+    """About a thousand terms: name endings of three, nation names, and beginnings of two and one."""
+    names = T.station_rows(s, sf).select("name")
+    nations = s.read.parquet(f"{sf}/nation.parquet").select("n_name")
+    last = names.select(F.substring("name", -3, 3).alias("term"))
+    return last.unionByName(nations.select(F.lower("n_name").alias("term"))).unionByName(nations.select(F.substring("n_name", 1, 2).alias("term"))) \
+        .unionByName(nations.select(F.substring("n_name", 2, 1).alias("term"))).distinct()
+
+
 def _queries_basic() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     q["busiest_top10"] = busiest_top10
     q["busiest_top10_matched"] = lambda s, sf: A.top_busiest(A.degree_matched(_g(s, sf)), 10)
-    q["degree_all"] = lambda s, sf: A.degree_all(_g(s, sf))
+    q["degree_all"] = lambda s, sf: A.degree_all(_x(s, sf))
+    q["degree_matched"] = lambda s, sf: A.degree_matched(_x(s, sf))
     q["out_degree"] = lambda s, sf: A.out_degree(_g(s, sf))
     q["station_count"] = lambda s, sf: A.station_count(_g(s, sf))
     q["rel_counts"] = lambda s, sf: A.rel_counts(_g(s, sf))
@@ -98,9 +115,9 @@ def _queries_basic() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["presence_check_grouped"] = lambda s, sf: A.presence_check_grouped(_g(s, sf))
     q["degree_lookup"] = lambda s, sf: A.degree_lookup(
         _g(s, sf), _names_on_raw_line(s, sf, "from_station"))
-    q["low_degree"] = lambda s, sf: A.low_degree(_g(s, sf), 4)
+    q["low_degree"] = lambda s, sf: A.low_degree(_x(s, sf), 4)
     q["interchanges"] = lambda s, sf: A.interchanges(_g(s, sf), 6)
-    q["peripheral_stations"] = lambda s, sf: A.peripheral_stations(_g(s, sf))
+    q["peripheral_stations"] = lambda s, sf: A.peripheral_stations(_x(s, sf))
     q["busy_stations"] = lambda s, sf: A.busy_stations(_g(s, sf))
     q["quiet_alternatives"] = lambda s, sf: A.quiet_alternatives(_g(s, sf))
     q["degree_scaled"] = lambda s, sf: A.degree_scaled(_g(s, sf))
@@ -108,6 +125,7 @@ def _queries_basic() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["load_report"] = lambda s, sf: A.load_report(_g(s, sf), T.load_connections(s, sf))
     q["stations_in_zone"] = lambda s, sf: L.stations_in_zone(_g(s, sf), ZONE)
     q["name_search"] = lambda s, sf: L.name_search(_g(s, sf), SEARCH_TERMS)
+    q["name_search_many"] = lambda s, sf: L.name_search(_x(s, sf), _search_terms(s, sf))
     q["station_lookup"] = lambda s, sf: L.station_lookup(
         _g(s, sf), _names_on_raw_line(s, sf, "to_station"))
     q["station_sample"] = lambda s, sf: L.station_sample(_g(s, sf), 10)
@@ -138,8 +156,8 @@ def _spelled() -> list:
 
 
 def shortest_path_pairs(s: SparkSession, sf: str) -> DataFrame:
-    """Route from one named station to every station of a zone, by name pairs."""
-    g = _g(s, sf)
+    """Route from one named station to every station of a zone, by name pairs; some cannot be reached."""
+    g = _x(s, sf)
     pairs = g.nodes.filter(F.col("zone") == ZONE).select(
         F.lit(NAMED_STATION).alias("from_name"), F.col("name").alias("to_name"))
     return P.shortest_paths(g, pairs).select("from_name", "to_name", "hops", *_spelled())
@@ -193,11 +211,13 @@ def csv_connections(s: SparkSession, sf: str) -> DataFrame:
 
 
 def ingest_manifest(s: SparkSession, sf: str) -> DataFrame:
-    root = _landing(s, sf, "stations", "connections")
-    parts = [MF.ingest_manifest(s, f"{root}/{d}").select(F.lit(d).alias("dataset"), "rows")
-             for d in ("stations", "connections")]
-    return (parts[0].unionByName(parts[1]).groupBy("dataset")
-            .agg(F.sum("rows").cast("long").alias("rows")))
+    """A row per landed file: one file for each line's connections and each zone's stations."""
+    root = scratch_path(s, "landing")
+    CSV.write_csv(T.raw_station_rows(s, sf).withColumn("part", F.coalesce("Zone", F.lit("none"))).repartition("part"), f"{root}/stations", "part")
+    CSV.write_csv(T.connection_rows(s, sf).withColumn("part", rel_type_name("Tube_Line")).repartition("part"), f"{root}/connections", "part")
+    files = MF.ingest_manifest(s, root)
+    return files.select(F.regexp_extract("path", "/(stations|connections)/", 1).alias("dataset"), F.regexp_extract("path", "part=([^/]*)/", 1).alias("part"),
+                        "rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 def node_upsert(s: SparkSession, sf: str) -> DataFrame:
@@ -217,10 +237,78 @@ def clear_counts(s: SparkSession, sf: str) -> DataFrame:
 
 
 def unmatched_connections(s: SparkSession, sf: str) -> DataFrame:
-    """Connections touching a station outside the fare zones (no zone)."""
-    g = _g(s, sf)
+    """Connections touching a station outside the fare zones (no zone) or one
+    that is not there, or without a line."""
+    g = _x(s, sf)
     zoned = g.nodes.filter(F.col("zone").isNotNull())
-    return M.unmatched_connections(T.load_connections(s, sf), zoned)
+    return M.unmatched_connections(T.load_connections(s, sf, extended=True), zoned)
+
+
+def _land(s: SparkSession, stations: DataFrame, connections: DataFrame) -> tuple[str, str]:
+    root = scratch_path(s, "landing")
+    CSV.write_csv(T.as_raw_stations(stations), f"{root}/stations")
+    CSV.write_csv(connections, f"{root}/connections")
+    return f"{root}/stations", f"{root}/connections"
+
+
+def _counted(s: SparkSession, loads: list) -> DataFrame:
+    """Counts of each load, observed while it wrote, and of what its tables hold when read back."""
+    told = ["source_stations", "source_connections", "nodes", "relationships", "quarantined", "deleted_nodes", "deleted_relationships"]
+    rows = [(k, m, r.counts.get(m, 0)) for k, r in enumerate(loads, 1) for m in told]
+    names = loads[-1].tables
+    held = [s.table(names[t]).agg(F.lit(len(loads)).alias("load"), F.lit(f"held_{t}").alias("metric"), F.count(F.lit(1)).alias("value"))
+            for t in ("stations", "tube_lines", "nodes", "relationships", "quarantine")]
+    out = s.createDataFrame(rows, "load int, metric string, value long")
+    for h in held:
+        out = out.unionByName(h)
+    return out
+
+
+def pipeline_load(s: SparkSession, sf: str) -> DataFrame:
+    """The load pipeline over the extended network's files, twice: the second load replaces the first."""
+    files = _land(s, T.station_rows(s, sf).unionByName(T.supplier_station_rows(s, sf)),
+                  T.connection_rows(s, sf).unionByName(T.supplier_connection_rows(s, sf)))
+    database = "tracknet_load_" + uuid.uuid4().hex[:12]
+    return _counted(s, [run_pipeline(s, *files, database) for _ in range(2)])
+
+
+def pipeline_incremental(s: SparkSession, sf: str) -> DataFrame:
+    """A full load, then an incremental one with the extension's files: the
+    stored graph, read back by type and station zone."""
+    database = "tracknet_load_" + uuid.uuid4().hex[:12]
+    run_pipeline(s, *_land(s, T.station_rows(s, sf), T.connection_rows(s, sf)), database)
+    res = run_pipeline(s, *_land(s, T.supplier_station_rows(s, sf), T.supplier_connection_rows(s, sf)), database, clear_first=False)
+    nodes = s.table(res.tables["nodes"]).select(F.col("station_id").alias("src_id"), "zone")
+    return s.table(res.tables["relationships"]).join(nodes, "src_id").groupBy("rel_type", "zone").agg(
+        F.count(F.lit(1)).alias("relationships"), F.countDistinct("src_id").alias("stations"))
+
+
+def _stored(s: SparkSession, sf: str):
+    """The extended graph, written in the stored layout and read back as one version."""
+    from tracknet.sources.snapshots import GraphStore
+
+    g = _x(s, sf)
+    graphs = GraphStore(s, "tracknet_store_" + uuid.uuid4().hex[:12])
+    graphs.write_nodes(g.nodes, "first")
+    graphs.write_relationships(g.relationships, "first")
+    return graphs.graph(graphs.publish("first", "first", ["first"]))
+
+
+def stored_departures(s: SparkSession, sf: str) -> DataFrame:
+    """Relationships that leave each station, with its name: joined on the bucketed key."""
+    g = _stored(s, sf)
+    out = g.relationships.groupBy(F.col("src_id").alias("station_id")).agg(F.count(F.lit(1)).alias("departures"))
+    return g.nodes.join(out, "station_id").select("station_id", "name", "departures")
+
+
+def stored_line_share(s: SparkSession, sf: str) -> DataFrame:
+    """Stations on the lines that have more connections than the mean line: only
+    those lines' folders are read (the list is found when the query runs)."""
+    g = _stored(s, sf)
+    lines = T.load_connections(s, sf, extended=True).filter("tube_line IS NOT NULL").groupBy("tube_line").agg(F.count(F.lit(1)).alias("n"))
+    mean = lines.agg(F.avg("n")).scalar()
+    busy = lines.filter(F.col("n") > mean).select(rel_type_name("tube_line").alias("rel_type"))
+    return g.relationships.join(busy, "rel_type").groupBy("rel_type").agg(F.countDistinct("src_id").alias("stations"))
 
 
 def derived_names(s: SparkSession, sf: str) -> DataFrame:
@@ -249,6 +337,10 @@ def _queries_etl() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         _g(s, sf).relationships, _g(s, sf).relationships)
     q["clear_counts"] = clear_counts
     q["unmatched_connections"] = unmatched_connections
+    q["pipeline_load"] = pipeline_load
+    q["pipeline_incremental"] = pipeline_incremental
+    q["stored_departures"] = stored_departures
+    q["stored_line_share"] = stored_line_share
     q["derived_names"] = derived_names
     q["sql_line_count"] = lambda s, sf: run_query(s, _g(s, sf), SQL_LINE_COUNT, {"line": LINE})
     return q
@@ -314,10 +406,35 @@ busy AS (
 """
 
 
+_CASE = "CASE " + " ".join(f"WHEN s_acctbal >= {least} THEN '{name}'" for name, least in T.SUPPLIER_CASES) + " ELSE 'depot' END"
+SUPPLIER_CTES = f"""
+suppliers AS (
+  SELECT s_suppkey, n_nationkey, n_regionkey, {_CASE} AS kind,
+         CASE WHEN {_CASE} = 'depot' THEN 'Depot ' || CAST(s_suppkey // 2 AS VARCHAR) ELSE s_name END AS name
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+more_stations AS (
+  SELECT {T.SUPPLIER_BASE} + s_suppkey AS station_id, name, CAST(52.0 AS DOUBLE) AS latitude, CAST(0.5 AS DOUBLE) AS longitude,
+         CASE WHEN kind <> 'depot' THEN CAST(n_regionkey + 1 AS INTEGER) END AS zone, 'S' || CAST(n_nationkey AS VARCHAR) AS postcode
+  FROM suppliers),
+more_connections AS (
+  SELECT CASE kind WHEN 'feeder' THEN 'Feeder' WHEN 'unknown' THEN 'Feeder' WHEN 'depot' THEN 'Depot & Yard' END AS tube_line, name AS from_station,
+         CASE WHEN kind = 'unknown' THEN 'Nowhere ' || CAST(s_suppkey AS VARCHAR) ELSE c_name END AS to_station
+  FROM suppliers JOIN customer ON c_custkey = s_suppkey WHERE kind <> 'isolated'),
+"""
+
+
 def _w(body: str) -> str:
     return "WITH " + GRAPH_CTES + body
 
 
+def _wx(body: str) -> str:
+    """Over the extended network."""
+    wide = GRAPH_CTES.replace("stations AS (", "base_stations AS (", 1).replace("connections AS (", "base_connections AS (", 1).replace(
+        "nodes AS (", "stations AS (SELECT * FROM base_stations UNION ALL SELECT * FROM more_stations),\n"
+        "connections AS (SELECT * FROM base_connections UNION ALL SELECT * FROM more_connections),\nnodes AS (", 1)
+    return "WITH " + SUPPLIER_CTES + wide + body
+
+
 def _oracles_basic() -> dict[str, str]:
     o: dict[str, str] = {}
     o["busiest_top10"] = _w(
@@ -326,7 +443,8 @@ def _oracles_basic() -> dict[str, str]:
     o["busiest_top10_matched"] = _w(
         "SELECT station_id, name, connections FROM degree WHERE connections > 0 "
         "ORDER BY connections DESC, station_id LIMIT 10")
-    o["degree_all"] = _w("SELECT station_id, name, connections FROM degree")
+    o["degree_all"] = _wx("SELECT station_id, name, connections FROM degree")
+    o["degree_matched"] = _wx("SELECT station_id, name, connections FROM degree WHERE connections > 0")
     o["out_degree"] = _w(
         "SELECT src_id AS station_id, count(*) AS out_degree FROM relationships GROUP BY src_id")
     o["station_count"] = _w("SELECT count(*) AS stations FROM nodes")
@@ -364,12 +482,12 @@ def _oracles_basic() -> dict[str, str]:
     o["degree_lookup"] = _w(
         "SELECT q.name, d.station_id, d.connections FROM (SELECT DISTINCT from_station AS name "
         f"FROM connections WHERE tube_line = '{RAW_LINE}') q LEFT JOIN degree d ON d.name = q.name")
-    o["low_degree"] = _w("SELECT station_id, name, connections FROM degree WHERE connections < 4")
+    o["low_degree"] = _wx("SELECT station_id, name, connections FROM degree WHERE connections < 4")
     o["interchanges"] = _w(
         "SELECT e.station_id, n.name, count(*) AS connections, count(DISTINCT e.rel_type) AS lines "
         "FROM ends e JOIN nodes n ON n.station_id = e.station_id GROUP BY e.station_id, n.name "
         "HAVING count(*) >= 6")
-    o["peripheral_stations"] = _w(
+    o["peripheral_stations"] = _wx(
         "SELECT b.station_id, n.name FROM (SELECT station_id FROM nbr GROUP BY station_id "
         "HAVING count(*) = 1) b JOIN nodes n ON n.station_id = b.station_id")
     o["busy_stations"] = _w("SELECT station_id, name, connections, cume_dist FROM busy")
@@ -401,6 +519,10 @@ def _oracles_basic() -> dict[str, str]:
     o["name_search"] = _w(
         f"SELECT t.term, n.station_id, n.name FROM nodes n, (VALUES {terms}) t(term) "
         "WHERE contains(lower(n.name), lower(t.term))")
+    o["name_search_many"] = _wx(
+        ", terms AS (SELECT right(name, 3) AS term FROM base_stations UNION SELECT lower(n_name) FROM nation"
+        " UNION SELECT left(n_name, 2) FROM nation UNION SELECT substr(n_name, 2, 1) FROM nation)"
+        " SELECT term, station_id, name FROM nodes JOIN terms ON contains(lower(name), lower(term))")
     o["station_lookup"] = _w(
         "SELECT q.name, n.station_id, n.zone, n.postcode FROM (SELECT DISTINCT to_station AS name "
         f"FROM connections WHERE tube_line = '{RAW_LINE}') q LEFT JOIN nodes n ON n.name = q.name")
@@ -479,6 +601,10 @@ def _wr(body: str) -> str:
     return "WITH RECURSIVE " + GRAPH_CTES + body
 
 
+def _wxr(body: str) -> str:
+    return _wx(body).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _oracles_graph() -> dict[str, str]:
     o: dict[str, str] = {}
     walk = ADJ_CTES + _walk_ctes(HUB_SQL)
@@ -498,7 +624,7 @@ paths(s, v, hops, route, lines) AS (
          CASE WHEN p.lines = '' THEN t.line ELSE p.lines || '>' || t.line END
   FROM paths p JOIN tree t ON t.s = p.s AND t.p = p.v)
 SELECT s AS src_id, v AS dst_id, hops, route, lines FROM paths WHERE hops > 0""")
-    o["shortest_path_pairs"] = _wr(
+    o["shortest_path_pairs"] = _wxr(
         ADJ_CTES + _walk_ctes(f"SELECT station_id FROM nodes WHERE name = '{NAMED_STATION}'") + """,
 pred AS (
   SELECT d.s, d.v, min(x.a) AS p FROM dist d JOIN adj x ON x.b = d.v
@@ -618,8 +744,8 @@ def _oracles_etl() -> dict[str, str]:
     o["csv_stations"] = _w("SELECT station_id, name, latitude, longitude, zone, postcode FROM stations")
     o["csv_connections"] = _w("SELECT tube_line, from_station, to_station FROM connections")
     o["ingest_manifest"] = _w(
-        "SELECT 'stations' AS dataset, count(*) AS rows FROM stations"
-        " UNION ALL SELECT 'connections', count(*) FROM connections")
+        "SELECT 'stations' AS dataset, coalesce(CAST(zone AS VARCHAR), 'none') AS part, count(*) AS rows, TRUE AS has_bytes FROM stations GROUP BY 2"
+        " UNION ALL SELECT 'connections', replace(replace(upper(tube_line), ' ', '_'), '&', 'AND'), count(*), TRUE FROM connections GROUP BY 2")
     o["node_upsert"] = _w(
         "SELECT station_id, name, latitude, longitude, zone,"
         f" CASE WHEN zone = {ZONE} THEN 'Z' || postcode ELSE postcode END AS postcode FROM nodes")
@@ -629,7 +755,7 @@ def _oracles_etl() -> dict[str, str]:
     o["clear_counts"] = _w(
         "SELECT (SELECT count(*) FROM nodes) AS deleted_nodes,"
         " (SELECT count(*) FROM relationships) AS deleted_relationships")
-    o["unmatched_connections"] = _w(
+    o["unmatched_connections"] = _wx(
         "SELECT tube_line, from_station, to_station, reason FROM ("
         " SELECT c.*, CASE WHEN tube_line IS NULL THEN 'null_line'"
         "  WHEN f.name IS NULL AND t.name IS NULL THEN 'unknown_both'"
@@ -638,6 +764,24 @@ def _oracles_etl() -> dict[str, str]:
         " LEFT JOIN (SELECT DISTINCT name FROM nodes WHERE zone IS NOT NULL) f ON f.name = c.from_station"
         " LEFT JOIN (SELECT DISTINCT name FROM nodes WHERE zone IS NOT NULL) t ON t.name = c.to_station) x"
         " WHERE reason IS NOT NULL")
+    counts = ("c AS (SELECT (SELECT count(*) FROM stations) AS s, (SELECT count(*) FROM connections) AS k, (SELECT count(*) FROM nodes) AS n,"
+              " (SELECT count(*) FROM relationships) AS r, (SELECT count(*) FROM connections x WHERE tube_line IS NULL"
+              " OR NOT EXISTS (SELECT 1 FROM nodes a WHERE a.name = x.from_station) OR NOT EXISTS (SELECT 1 FROM nodes a WHERE a.name = x.to_station)) AS q)")
+    told = lambda k, again: [(k, "source_stations", "s"), (k, "source_connections", "k"), (k, "nodes", "n"), (k, "relationships", "r"), (k, "quarantined", "q"),
+                             (k, "deleted_nodes", again.replace("x", "n")), (k, "deleted_relationships", again.replace("x", "r"))]
+    rows = told(1, "0") + told(2, "x") + [(2, "held_stations", "s"), (2, "held_tube_lines", "k"), (2, "held_nodes", "n"), (2, "held_relationships", "r"),
+                                          (2, "held_quarantine", "2 * q")]
+    o["pipeline_load"] = _wx(", " + counts + " " + " UNION ALL ".join(f"SELECT {k} AS load, '{m}' AS metric, CAST({v} AS BIGINT) AS value FROM c" for k, m, v in rows))
+    o["pipeline_incremental"] = _wx(
+        "SELECT rel_type, zone, count(*) AS relationships, count(DISTINCT src_id) AS stations FROM relationships"
+        " JOIN nodes ON station_id = src_id GROUP BY rel_type, zone")
+    o["stored_departures"] = _wx(
+        "SELECT station_id, name, count(*) AS departures FROM nodes JOIN relationships ON src_id = station_id GROUP BY station_id, name")
+    o["stored_line_share"] = _wx(
+        ", lines AS (SELECT replace(replace(upper(tube_line), ' ', '_'), '&', 'AND') AS rel_type, count(*) AS n FROM connections"
+        " WHERE tube_line IS NOT NULL GROUP BY 1)"
+        " SELECT rel_type, count(DISTINCT src_id) AS stations FROM relationships"
+        " WHERE rel_type IN (SELECT rel_type FROM lines WHERE n > (SELECT avg(n) FROM lines)) GROUP BY rel_type")
     o["derived_names"] = _w(
         f"SELECT station_id, '{ID_PREFIX}_' || translate(split_part(u, '@', 1), '.-', '__') AS catalog_name,"
         " split_part(trim(p, '/'), '/', 2) AS path_catalog, split_part(trim(p, '/'), '/', 3) AS path_schema"

@@ -100,3 +100,17 @@ def test_schema_and_validation(tiny):
     assert [r.value for r in v if r.section == "stations"] == [8]
     assert [r.value for r in v if r.section == "total"] == [18]
     assert [r.item for r in v if r.section == "busiest"][:2] == ["Birch", "Cedar"]
+
+
+def test_name_search_takes_any_terms_and_a_stored_index(spark, tiny):
+    from tracknet.operators import lookup as L
+
+    names = [(r.station_id, r.name) for r in tiny.nodes.collect()]
+    terms = ["", "a", "AR", "ced", "EDAR", "dogwood", "dogwoods", "zzz", "xy", "%", "rr", "lm"]
+    want = sorted((t, i, n) for t in terms for i, n in names if t.lower() in n.lower())
+    frame = spark.createDataFrame([(t,) for t in [*terms, None, "a"]], "term string")
+    index = L.name_index(tiny.nodes)
+    for got in (L.name_search(tiny, terms), L.name_search(tiny, frame), L.name_search(tiny, frame, index)):
+        assert sorted(tuple(r) for r in got.collect()) == want
+    plan = L.name_search(tiny, frame)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -250,8 +250,8 @@ def lines_through_station(g: GraphTables) -> DataFrame:
 
 
 def load_report(g: GraphTables, connections: DataFrame) -> DataFrame:
-    """Per line: raw connections, resolved connections, relationships; plus
-    a total row (``rel_type = 'ALL'``)."""
+    """Per line: raw connections and relationships (two for each resolved
+    connection); plus a total row (``rel_type = 'ALL'``)."""
     from tracknet.functions.names import rel_type_name
 
     raw = (connections.filter(F.col("tube_line").isNotNull())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracknet.operators.model import GraphTables
@@ -21,18 +21,45 @@ def stations_with(g: GraphTables, *, name: str | None = None, postcode: str | No
     return found.select("station_id", "name", "zone", "postcode")
 
 
-def name_search(g: GraphTables, terms: list[str]) -> DataFrame:
-    """Case-insensitive substring search for several terms in one scan.
+GRAM = 3
 
-    The terms ride along as a literal array, so this is a filter over the
-    station scan, not a join against a term table.
+
+def _grams(text: Column, size: int) -> Column:
+    """The distinct substrings of ``size`` characters."""
+    places = F.sequence(F.lit(1), F.length(text) - (size - 1))
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+
+
+def name_index(nodes: DataFrame) -> DataFrame:
+    """Posting lists ``(gram, station_id, name)``: a row for each distinct
+    substring of up to three characters of a name in lower case, and the empty one."""
+    low = F.lower("name")
+    grams = F.concat(F.array(F.lit("")), *[_grams(low, n) for n in range(1, GRAM + 1)])
+    return nodes.filter("name IS NOT NULL").select(F.explode(grams).alias("gram"), "station_id", "name")
+
+
+def name_search(g: GraphTables, terms: list[str] | DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """``(term, station_id, name)``: case-insensitive substring search for many
+    terms (a list, or a DataFrame with a column ``term``).
+
+    Every place where a term stands in a name holds all the term's trigrams.
+    A term meets the names under its rarest one (a term of fewer than three
+    characters is a gram itself), by an equi-join, and each such pair is
+    verified. ``index`` is a stored :func:`name_index`; without it the posting
+    lists are made on the way, of the asked grams only.
     """
-    if not terms:
-        raise ValueError("name_search needs at least one term")
-    arr = F.array(*[F.lit(t) for t in terms])
-    # the terms that hit are picked first, so stations without a hit make no rows
-    hits = F.filter(arr, lambda t: F.lower(F.col("name")).contains(F.lower(t)))
-    return g.nodes.select(F.explode(hits).alias("term"), "station_id", "name")
+    if isinstance(terms, list):
+        if not terms:
+            raise ValueError("name_search needs at least one term")
+        terms = g.nodes.sparkSession.createDataFrame([(t,) for t in terms], "term string")
+    low = F.lower("term")
+    of_term = F.when(F.length(low) < GRAM, F.array(low)).otherwise(_grams(low, GRAM))
+    asked = terms.select("term").filter("term IS NOT NULL").distinct().select("term", F.explode(of_term).alias("gram"))
+    postings = (name_index(g.nodes) if index is None else index).join(asked.select("gram").distinct(), "gram", "left_semi")
+    counts = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("names"))
+    rarest = asked.join(counts, "gram", "left").groupBy("term").agg(F.min(F.struct(F.coalesce("names", F.lit(0)).alias("names"), "gram")).alias("_r")) \
+        .filter("_r.names > 0").select("term", "_r.gram")
+    return rarest.join(postings, "gram").filter(F.contains(F.lower("name"), F.lower("term"))).select("term", "station_id", "name")
 
 
 def station_lookup(g: GraphTables, names: DataFrame) -> DataFrame:

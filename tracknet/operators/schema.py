@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracknet.operators.aggregates import degree_all, rel_counts_rollup, top_busiest
 from tracknet.operators.model import GraphTables
+from tracknet.plans.iterate import cut
 
 
 def graph_schema(g: GraphTables) -> DataFrame:
@@ -34,8 +35,10 @@ def graph_properties(g: GraphTables) -> DataFrame:
 
 
 def validate_graph(g: GraphTables, top: int = 10) -> DataFrame:
-    """The post-load report as rows ``(section, item, value)``: station
-    count, relationships per type, their total, and the busiest stations."""
+    """The post-load report as rows ``(section, item, value)``, in this order:
+    station count, relationships per type with the most first, their total, and
+    the busiest stations, busiest first. The graph is worked out once."""
+    g = GraphTables(cut(g.nodes.select("station_id", "name")), cut(g.relationships))
     stations = g.nodes.agg(F.count(F.lit(1)).alias("value")).select(
         F.lit("stations").alias("section"), F.lit("Station").alias("item"), "value")
     # per-type counts and their total from one pass over the relationships
@@ -45,4 +48,5 @@ def validate_graph(g: GraphTables, top: int = 10) -> DataFrame:
     busiest = top_busiest(degree_all(g), top).select(
         F.lit("busiest").alias("section"), F.col("name").alias("item"),
         F.col("connections").alias("value"))
-    return stations.unionByName(per_type_and_total).unionByName(busiest)
+    place = F.array_position(F.array(*map(F.lit, ("stations", "relationships", "total", "busiest"))), F.col("section"))
+    return stations.unionByName(per_type_and_total).unionByName(busiest).orderBy(place, F.desc("value"), "item")

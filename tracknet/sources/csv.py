@@ -47,5 +47,7 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, *parts: str) -> None:
+    """CSV with a header; a folder for each value of the columns ``parts``."""
+    w = df.write.mode("overwrite").option("header", True)
+    (w.partitionBy(*parts) if parts else w).csv(path)

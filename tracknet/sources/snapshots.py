@@ -70,9 +70,11 @@ class GraphStore:
 
     def write_nodes(self, nodes: DataFrame, load_id: str) -> int:
         """The nodes of a load as a part of their own; rows written and read back.
-        The first load fixes the number of buckets by its rows."""
+        The first load fixes the number of buckets: by its rows, and not below
+        the session's partitions, as a join would shuffle fewer buckets to those."""
         staged, n = cut(nodes, rows=rows())
-        buckets = self._buckets() if self._exists(self.node_parts) else max(1, math.ceil(n["rows"] / ROWS_PER_BUCKET))
+        least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = self._buckets() if self._exists(self.node_parts) else max(least, math.ceil(n["rows"] / ROWS_PER_BUCKET))
         part = staged.repartition(buckets, "station_id").withColumn("load_id", F.lit(load_id))
         part.write.mode("append").partitionBy("load_id").bucketBy(buckets, "station_id").sortBy("station_id").saveAsTable(self.node_parts)
         return self._checked(self.node_parts, load_id, n["rows"])

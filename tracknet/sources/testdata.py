@@ -10,6 +10,11 @@ derived from them (and grows with them):
   written as `` & `` (``1-URGENT`` -> ``1 & URGENT``). This is an equi-join on
   the unique order key, so no group of rows is funnelled into a single task.
 
+The extended network adds a station per supplier, sorted by its balance into
+the cases that a clean projection lacks (``SUPPLIER_CASES``): depots, two of
+which may share a name, stations without any connection, with one, with one on a line without a
+name, and with one to a station that is not there.
+
 The same projections are written in DuckDB SQL in ``__spark_entry__``.
 """
 
@@ -44,7 +49,11 @@ def station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stations in the raw file layout, every value as text."""
-    s = station_rows(spark, sf_dir)
+    return as_raw_stations(station_rows(spark, sf_dir))
+
+
+def as_raw_stations(s: DataFrame) -> DataFrame:
+    """Cleaned stations in the raw file layout."""
     return s.select(
         F.col("station_id").cast("string").alias("ID"),
         F.col("name").alias("Station_Name"),
@@ -73,15 +82,57 @@ def connection_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "From_Station", "To_Station")
 
 
-def load_graph(spark: SparkSession, sf_dir: str):
+#: Least balance of each case, from the greatest down; below all of them a depot.
+SUPPLIER_CASES = [("unknown", 8000), ("no_line", 6500), ("feeder", 4500), ("isolated", 3000)]
+#: Suppliers' ids start behind those of all customers.
+SUPPLIER_BASE = 10**12
+
+
+def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    case = F.lit("depot")
+    for name, least in reversed(SUPPLIER_CASES):
+        case = F.when(F.col("s_acctbal") >= least, F.lit(name)).otherwise(case)
+    depot = case == "depot"
+    return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        "s_suppkey", "n_nationkey", "n_regionkey", case.alias("case"),
+        F.when(depot, F.concat(F.lit("Depot "), F.floor(F.col("s_suppkey") / 2).cast("string"))).otherwise(F.col("s_name")).alias("name"))
+
+
+def supplier_station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stations that the extended network adds, in the cleaned layout."""
+    return _suppliers(spark, sf_dir).select(
+        (F.lit(SUPPLIER_BASE) + F.col("s_suppkey")).cast("long").alias("station_id"), "name",
+        F.lit(52.0).alias("latitude"), F.lit(0.5).alias("longitude"),
+        F.when(F.col("case") != "depot", F.col("n_regionkey") + 1).cast("int").alias("zone"),
+        F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("postcode"))
+
+
+def supplier_connection_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The connections that the extended network adds, in the raw layout: each
+    to the customer of the supplier's number, or to nowhere."""
+    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    s = _suppliers(spark, sf_dir).filter("case <> 'isolated'")
+    return s.join(customer, F.col("c_custkey") == F.col("s_suppkey")).select(
+        F.when(F.col("case") == "feeder", F.lit("Feeder")).when(F.col("case") == "depot", F.lit("Depot & Yard"))
+        .when(F.col("case") == "unknown", F.lit("Feeder")).alias("Tube_Line"),
+        F.col("name").alias("From_Station"),
+        F.when(F.col("case") == "unknown", F.concat(F.lit("Nowhere "), F.col("s_suppkey").cast("string"))).otherwise(F.col("c_name")).alias("To_Station"))
+
+
+def load_graph(spark: SparkSession, sf_dir: str, extended: bool = False):
     """The graph built from the projections, through the normal build path."""
-    from tracknet.operators.model import build_graph, clean_connections
+    from tracknet.operators.model import build_graph
 
-    return build_graph(station_rows(spark, sf_dir),
-                       clean_connections(connection_rows(spark, sf_dir)))
+    stations = station_rows(spark, sf_dir)
+    if extended:
+        stations = stations.unionByName(supplier_station_rows(spark, sf_dir))
+    return build_graph(stations, load_connections(spark, sf_dir, extended))
 
 
-def load_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_connections(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataFrame:
     from tracknet.operators.model import clean_connections
 
-    return clean_connections(connection_rows(spark, sf_dir))
+    raw = connection_rows(spark, sf_dir)
+    return clean_connections(raw.unionByName(supplier_connection_rows(spark, sf_dir)) if extended else raw)

@@ -40,12 +40,49 @@ def cut(df: DataFrame, **metrics: Column):
     df.write.mode("overwrite").parquet(path)
     # the schema is known: reading it back needs no footer inference
     out = spark.read.schema(schema).parquet(path)
+    out._round = path
+    if Rounds.scopes:
+        Rounds.scopes[-1].paths.add(path)
     if not metrics:
         return out
     got = obs.get
     return out, {k: (got.get(k) or 0) for k in metrics}
 
 
+class Rounds:
+    """A scope whose round tables are deleted when it ends, but for those kept.
+
+    Nothing that still has to be computed may read a deleted table: the scope's
+    result is a table of its own, handed out through :meth:`keep`."""
+
+    scopes: list[Rounds] = []
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: set[str] = set()
+
+    def __enter__(self) -> Rounds:
+        Rounds.scopes.append(self)
+        return self
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        """Keeps a table that :func:`cut` returned; it passes to the scope around this one, if any."""
+        self.paths.discard(table._round)
+        if len(Rounds.scopes) > 1:
+            Rounds.scopes[-2].paths.add(table._round)
+        return table
+
+    def __exit__(self, *failure) -> None:
+        Rounds.scopes.remove(self)
+        for path in self.paths:
+            drop_round(self.spark, path)
+
+
+def drop_round(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def pin(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition a loop-invariant input (an adjacency list) by ``keys``
     once and checkpoint it with that partitioning, so the rounds that join

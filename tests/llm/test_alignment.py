@@ -54,11 +54,18 @@ def brute_groups(coders, text):
             out.append(at)
         return out
     ea, eb = ends(spelled_a), ends(spelled_b)
-    both = sorted(set(ea) & set(eb))
-    groups, low = [], 0
-    for c in both:
-        groups.append(([i for i, x in zip(e.ids, ea, strict=True) if low < x <= c], [i for i, x in zip(ids, eb, strict=True) if low < x <= c]))
-        low = c
+    common = set(ea) & set(eb)
+    groups = []
+    for ids_of, ends_of, side in ((e.ids, ea, 0), (ids, eb, 1)):
+        held, k = [], 0
+        for i, x in zip(ids_of, ends_of, strict=True):
+            held.append(i)
+            if x in common:
+                if side == 0:
+                    groups.append((held, None))
+                else:
+                    groups[k] = (groups[k][0], held)
+                held, k = [], k + 1
     return groups
 
 

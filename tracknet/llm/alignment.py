@@ -60,9 +60,12 @@ from tracknet.plans.iterate import cut, rows
 CHUNK = 1 << 16
 FAN = 64
 BLOCK = 8 << 20
-#: Words whose fragments a worker keeps; beyond it starts a new table. Longer words are not kept.
+#: Words, and id pairs of words, that a worker keeps; beyond it starts a new table after the block.
 KEEP_WORDS = 400_000
-LONGEST_KEPT = 64
+KEEP_PAIRS = 8_000_000
+#: New words tokenized in one call; longer ones than that many characters are taken one by one.
+JOINED = 2_000
+LONGEST_JOINED = 1_000
 
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -148,32 +151,46 @@ def group_pairs(a: tuple[int, ...], b: tuple[int, ...]) -> tuple[np.ndarray, np.
 
 def summed(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each distinct code with the sum of its times."""
-    out, at = np.unique(codes, return_inverse=True)
-    total = np.zeros(len(out), np.int64)
-    np.add.at(total, at, times)
-    return out, total
+    if not len(codes):
+        return codes, times
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+    return codes[first], np.add.reduceat(times[order], first)
 
 
 def pairs_of(groups) -> tuple[np.ndarray, np.ndarray]:
     """Distinct id pairs of several groups and their links."""
-    if all(len(a) == 1 == len(b) for a, b in groups):
-        codes = np.array([(a[0] << 32) | b[0] for a, b in groups], np.int64)
-        return summed(codes, np.ones(len(codes), np.int64)) if len(codes) > 1 else (codes, np.ones(len(codes), np.int64))
     got = [group_pairs(a, b) for a, b in groups]
     return summed(np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]))
 
 
-class Word(NamedTuple):
-    """What a word adds to its document; both tokenizers end where it ends."""
+class Words:
+    """What each known word adds to its document. Numbers are rows of the
+    columns; a word's id pairs are a stretch of ``codes`` and ``times``."""
 
-    ok: bool
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    groups: str
-    codes: np.ndarray
-    times: np.ndarray
+    COLUMNS = ("ok", "n_a", "n_b", "n_groups", "n_links", "first", "held")
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.rows = {c: np.zeros(1 << 12, np.int64) for c in self.COLUMNS}
+        self.codes, self.times, self.used = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+
+    def add(self, words: list[str], groups: list[str], codes: np.ndarray, times: np.ndarray, **columns: np.ndarray) -> None:
+        n, more = len(self.groups), len(words)
+        while n + more > len(self.rows["ok"]):
+            self.rows = {c: np.concatenate((x, np.zeros_like(x))) for c, x in self.rows.items()}
+        while self.used + len(codes) > len(self.codes):
+            self.codes, self.times = (np.concatenate((x, np.zeros_like(x))) for x in (self.codes, self.times))
+        columns["first"] = self.used + np.cumsum(columns["held"]) - columns["held"]
+        for c in self.COLUMNS:
+            self.rows[c][n:n + more] = columns[c]
+        self.codes[self.used:self.used + len(codes)] = codes
+        self.times[self.used:self.used + len(codes)] = times
+        self.used += len(codes)
+        self.number.update(zip(words, range(n, n + more), strict=True))
+        self.groups += groups
 
 
 class Aligner:
@@ -184,48 +201,84 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte = {c: b for b, c in enumerate(byte_characters())}
-        size = lambda piece: len(bytes(byte[c] for c in piece))
-        self.size_a = {i: size(p) for p, i in self.a.get_vocab().items() if all(c in byte for c in p)}
-        self.bytes_b = {}
+        vocabulary = self.a.get_vocab()
+        self.size_a = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for piece, i in vocabulary.items():
+            self.size_a[i] = len(piece) if all(c in byte for c in piece) else 0     # a character for each byte
+        self.bytes_b = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             raw = _BYTE.fullmatch(piece) if self.b.is_byte(i) else None
-            self.bytes_b[i] = bytes([int(raw[1], 16)]) if raw else piece.replace("▁", " ").encode()
-        self.kept: dict[str, int] = {}
-        self.words: list[Word] = []
+            self.bytes_b.append(bytes([int(raw[1], 16)]) if raw else piece.replace("▁", " ").encode())
+        self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.names = [str(i) for i in range(max(len(self.size_a), len(self.size_b)))]
+        self.words = Words()
 
     def tokens(self, words: list[str]) -> list[tuple[bool, Tokens]]:
         """Ids and byte ends of each word after its space, and whether B gives the bytes back."""
         out = []
         coded = self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)
         for w, e, b in zip(words, coded, self.b.encode(words, num_threads=1), strict=True):
-            a = e.ids
-            spelled = [self.bytes_b[i] for i in b]
-            ends_a = np.cumsum([self.size_a[i] for i in a]).tolist()
-            ends_b = np.cumsum([len(s) for s in spelled]).tolist()
-            out.append((b"".join(spelled) == b" " + w.encode(), Tokens(a, ends_a, b, ends_b)))
+            spelled = b"".join([self.bytes_b[i] for i in b])
+            out.append((spelled == b" " + w.encode(), Tokens(e.ids, np.cumsum(self.size_a[e.ids]).tolist(), b, np.cumsum(self.size_b[b]).tolist())))
         return out
 
-    def learn(self, texts: list[list[str]]) -> dict[str, int]:
-        """The number in ``self.words`` of every word of the texts. Numbers hold until ``forget``."""
-        new = list({w for words in texts for w in words if w not in self.kept})
-        for w, (ok, t) in zip(new, self.tokens(new), strict=True):
-            got = Word(False, 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
-            if ok:
-                f = fragment(t)
-                groups = (f.head, *f.closed)
-                got = Word(True, len(t.a), len(t.b), len(groups), sum(len(x) * len(y) for x, y in groups), shown(groups), *pairs_of(groups))
-            self.kept[w] = len(self.words)
-            self.words.append(got)
-        return self.kept
+    def learn(self, texts: list[list[str]]) -> Words:
+        """The table, with every word of the texts in it."""
+        known = self.words.number
+        new = {w for words in texts for w in words if w not in known}
+        plain = [w for w in new if w and len(w) <= LONGEST_JOINED and not w[0].isspace() and not w[-1].isspace()]
+        # new words are tokenized many at a time, as one text of words
+        for k in range(0, len(plain), JOINED):
+            if not self._learn_joined(plain[k:k + JOINED]):
+                self._learn_each(plain[k:k + JOINED])
+        self._learn_each(list(new.difference(plain)))
+        return self.words
+
+    def _learn_each(self, words: list[str]) -> None:
+        for w, (ok, t) in zip(words, self.tokens(words) if words else (), strict=True):
+            f = fragment(t)
+            groups = (f.head, *f.closed) if ok else ()
+            codes, times = pairs_of(groups) if ok else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            self.words.add([w], [shown(groups)], codes, times, ok=ok, n_a=len(t.a) * ok, n_b=len(t.b) * ok, n_groups=len(groups),
+                           n_links=sum(len(a) * len(b) for a, b in groups), held=np.array([len(codes)]))
+
+    def _learn_joined(self, words: list[str]) -> bool:
+        """The same for words that can stand side by side; False if B does not give them back."""
+        text = " ".join(words)
+        a = np.array(self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64)
+        listed = self.b.encode(text, num_threads=1)
+        b = np.array(listed, np.int64)
+        if b"".join([self.bytes_b[i] for i in listed]) != b" " + text.encode():
+            return False
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        in_a, in_b, word = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b), np.searchsorted(ends, common)
+        n_a, n_b = np.bincount(in_a, minlength=len(common)), np.bincount(in_b, minlength=len(common))
+        # every token of A with every token of B of its group
+        times = n_b[in_a]
+        x = np.repeat(np.arange(len(a)), times)
+        y = np.repeat((np.cumsum(n_b) - n_b)[in_a] - (np.cumsum(times) - times), times) + np.arange(len(x))
+        distinct, code = np.unique((a[x] << 32) | b[y], return_inverse=True)
+        key, links = np.unique(word[in_a[x]] * len(distinct) + code, return_counts=True)
+        of, code = np.divmod(key, len(distinct))
+        per_word = lambda at, n=None: np.bincount(at, n, minlength=len(words)).astype(np.int64)
+        names = self.names
+        texts, i, j = [], 0, 0
+        left, right = [names[k] for k in a.tolist()], [names[k] for k in listed]
+        for p, q in zip(n_a.tolist(), n_b.tolist(), strict=True):
+            texts.append(f"{left[i]}|{right[j]}" if p == 1 == q else f"{','.join(left[i:i + p])}|{','.join(right[j:j + q])}")
+            i, j = i + p, j + q
+        edge = np.searchsorted(word, np.arange(len(words) + 1)).tolist()
+        self.words.add(words, [";".join(texts[p:q]) for p, q in zip(edge, edge[1:])], distinct[code], links, ok=np.ones(len(words), np.int64),
+                       n_a=per_word(word, n_a), n_b=per_word(word, n_b), n_groups=per_word(word), n_links=per_word(word, n_a * n_b), held=per_word(of))
+        return True
 
     def forget(self) -> None:
-        """Starts a new table where the old one has grown, and lets go of long words."""
-        if len(self.words) > KEEP_WORDS:
-            self.kept, self.words = {}, []
-        for w in [w for w in self.kept if len(w) > LONGEST_KEPT]:
-            k = self.kept.pop(w)
-            self.words[k] = self.words[k]._replace(groups="", codes=np.zeros(0, np.int64), times=np.zeros(0, np.int64))
+        """Starts a new table where the old one has grown."""
+        if len(self.words.groups) > KEEP_WORDS or self.words.used > KEEP_PAIRS:
+            self.words = Words()
 
 
 @lru_cache(maxsize=2)
@@ -237,24 +290,25 @@ def _flat(arrays: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
 
 
-def document_pairs(words: list[Word], per_text: list[list[int]]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Distinct id pairs of each text and their links, from the numbers of its words."""
-    n = len(per_text)
-    doc = np.repeat(np.arange(n), [len(t) for t in per_text])
-    num = np.array([k for t in per_text for k in t], np.int64)
-    used, num = np.unique(num, return_inverse=True)
-    held = np.array([len(words[k].codes) for k in used.tolist()], np.int64)
-    codes, times = _flat([words[k].codes for k in used.tolist()]), _flat([words[k].times for k in used.tolist()])
-    first = np.cumsum(held) - held
+def document_pairs(words: Words, numbers: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct id pairs and their links of several texts, and where each
+    text's begin; a text's words are the numbers from its edge to the next."""
+    n = len(edges) - 1
+    doc = np.repeat(np.arange(n), np.diff(edges))
+    used, num = np.unique(numbers, return_inverse=True)
+    held = words.rows["held"][used]
+    upto = np.cumsum(held)
+    stretch = np.repeat(words.rows["first"][used] - (upto - held), held) + np.arange(int(held.sum()))
+    codes, times = words.codes[stretch], words.times[stretch]
     # each distinct word of a text once, with how often it stands there; then its pairs
     at, count = np.unique(doc * max(1, len(used)) + num, return_counts=True)
     doc, num = np.divmod(at, max(1, len(used)))
-    take = np.repeat(first[num] - (np.cumsum(held[num]) - held[num]), held[num]) + np.arange(int(held[num].sum()))
+    more = held[num]
+    take = np.repeat((upto - held)[num] - (np.cumsum(more) - more), more) + np.arange(int(more.sum()))
     distinct, code = np.unique(codes, return_inverse=True)
-    key, total = summed(np.repeat(doc, held[num]) * max(1, len(distinct)) + code[take], times[take] * np.repeat(count, held[num]))
+    key, total = summed(np.repeat(doc, more) * max(1, len(distinct)) + code[take], times[take] * np.repeat(count, more))
     doc, code = np.divmod(key, max(1, len(distinct)))
-    edge = np.searchsorted(doc, np.arange(n + 1))
-    return [(distinct[code[edge[k]:edge[k + 1]]], total[edge[k]:edge[k + 1]]) for k in range(n)]
+    return distinct[code], total, np.searchsorted(doc, np.arange(n + 1))
 
 
 #: What a worker gives: ``whole`` documents, ``part`` ranges of long ones, and each ``block``'s id pairs.
@@ -367,19 +421,21 @@ def _align(path_a: str, path_b: str, keep_groups: bool, block_bytes: int):
                     made.append(row)
                     texts.append(words)
                     size += len(r["text"] or "")
-                known = aligner.learn(texts)
+                table = aligner.learn(texts)
+                known, rows_of = table.number, table.rows
                 numbers = [[known[w] for w in words] for words in texts]
-                table = aligner.words
                 for row, nums in zip(made, numbers, strict=True):
-                    row["ok"] = row["ok"] and all(table[k].ok for k in nums)
+                    row["ok"] = row["ok"] and bool(rows_of["ok"][nums].all())
                     if not row["ok"]:
                         nums.clear()
-                pairs = document_pairs(table, numbers)
-                for row, nums, (codes, times) in zip(made, numbers, pairs, strict=True):
-                    got = [table[k] for k in nums]
-                    text = ";".join([w.groups for w in got])
-                    row |= {"n_a": sum(w.n_a for w in got), "n_b": sum(w.n_b for w in got), "n_groups": sum(w.n_groups for w in got),
-                            "n_links": sum(w.n_links for w in got), "pairs": codes, "times": times}
+                edges = np.cumsum([0, *map(len, numbers)])
+                flat = np.array([k for nums in numbers for k in nums], np.int64)
+                codes, times, places = document_pairs(table, flat, edges)
+                sums = {c: np.diff(np.concatenate(([0], np.cumsum(rows_of[c][flat])))[edges]).tolist() for c in ("n_a", "n_b", "n_groups", "n_links")}
+                for k, (row, nums) in enumerate(zip(made, numbers, strict=True)):
+                    text = ";".join([table.groups[x] for x in nums])
+                    pairs = slice(places[k], places[k + 1])
+                    row |= {c: sums[c][k] for c in sums} | {"pairs": codes[pairs], "times": times[pairs]}
                     if row["kind"] == "whole":
                         row["sha"] = hashlib.sha256(text.encode()).hexdigest() if row["ok"] else ""
                         row["groups"] = text if keep_groups else None

@@ -7,8 +7,8 @@ make a third is a merge, in order of the third's rank. Each match of the
 split pattern is encoded separately, as the ranks alone would have it.
 
 Texts are encoded an Arrow batch at a time. Words repeat, so the pieces of a
-batch are looked up in a bounded table of encoded pieces, and only the new
-ones go through the library, in one batch call. Whole texts are encoded;
+batch of 256 texts are looked up in a bounded table of encoded pieces, and only
+the new ones go through the library, in one call without offsets. Whole texts are encoded;
 memory grows with the longest text, not with the batch count.
 
 Decoding reverses the byte table. A character whose bytes are split between
@@ -22,6 +22,7 @@ encoded one by one. Extra columns are not read.
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -74,22 +75,20 @@ class ByteBpe:
         return self.pattern.findall(text)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+        """Ids of each text as little-endian unsigned 32-bit integers; the
+        pieces that are new to the table go through the library in one call."""
         if len(self.kept) > KEEP_PIECES:
             self.kept = {}
-        out = []
-        for text in texts:
-            pieces = self.pieces(text)
-            new = {p for p in pieces if p not in self.kept}
-            known = self.kept
-            if new:
-                asked = list(new)
-                ids = [np.asarray(e.ids, "<u4").tobytes() for e in self.model.encode_batch(asked, add_special_tokens=False)]
-                fresh = dict(zip(asked, ids, strict=True))
-                self.kept.update((p, i) for p, i in fresh.items() if len(p) <= LONGEST_KEPT)
-                if any(len(p) > LONGEST_KEPT for p in asked):
-                    known = {**{p: self.kept[p] for p in set(pieces) if p in self.kept}, **fresh}
-            out.append(b"".join(map(known.__getitem__, pieces)))
+        split = [self.pieces(text) for text in texts]
+        new = list({p for pieces in split for p in pieces if p not in self.kept})
+        if new:
+            coded = self.model.encode_batch_fast(new, add_special_tokens=False)
+            self.kept.update((p, np.asarray(e.ids, "<u4").tobytes()) for p, e in zip(new, coded, strict=True))
+        known = self.kept
+        out = [b"".join([known[p] for p in pieces]) for pieces in split]
+        for p in new:
+            if len(p) > LONGEST_KEPT:
+                del known[p]
         return out
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
@@ -143,10 +142,28 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, *, id_col: str =
             .withColumnRenamed("id", "doc_id"))
 
 
-def digest_documents(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of what ``encode_documents`` gives."""
-    coded = encode_documents(docs, path, pattern, id_col=id_col, text_col=text_col)
-    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+def digest_documents(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: digests of what
+    ``encode_documents`` gives, taken where the ids are made; with ``keep_ids``
+    also ``ids``."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(path, pattern)
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                ids = bpe.encode_batch([t or "" for t in part.column(1).to_pylist()])
+                cols = [part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([sha(i) for i in ids], pa.string()),
+                        pa.array([sha(bpe.decode_bytes(np.frombuffer(i, "<u4"))) for i in ids], pa.string())]
+                if keep_ids:
+                    cols.append(pa.array(ids, pa.binary()))
+                yield pa.RecordBatch.from_arrays(cols, ["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(cols)])
+
+    schema = f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids binary" if keep_ids else "")
+    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+            .withColumnRenamed("id", "doc_id"))
 
 
 def count_tokens(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text") -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracknet.llm import bpe
+from tracknet.plans.iterate import cut
 
 BLOCK = 1024
 
@@ -79,4 +80,6 @@ def quantile(sums: DataFrame, q: float) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text") -> DataFrame:
-    return suffix_sums(length_histogram(bpe.count_tokens(docs, path, pattern, text_col=text_col)))
+    """The suffix sums of the documents' encoded lengths. The histogram is
+    written once, as both levels of sums read it: every text is encoded once."""
+    return suffix_sums(cut(length_histogram(bpe.count_tokens(docs, path, pattern, text_col=text_col))))

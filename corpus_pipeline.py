@@ -11,12 +11,16 @@ return the columns of ``documents``:
    a text of which nothing remains stays as an empty one;
 4. mixing: rows are repeated, or left out, so that sources meet their targets;
 5. byte-level BPE: ids of every text, and a digest of what they decode to.
+
+Null and empty texts fail the quality rules. Rows equal in id and text are one
+document from the second stage on; null ids are kept and decided by row. An
+empty table gives an empty result. Extra columns pass through all but the last
+stage, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tracknet.llm import bpe, hyperminhash, mixing, quality, queries, substring
 from tracknet.plans.iterate import cut
@@ -40,8 +44,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, decoded_sha256)``; ids are packed as little-endian unsigned 32-bit integers."""
-    coded = bpe.encode_documents(docs, *queries.vocabulary())
-    return coded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = bpe.digest_documents(docs, *queries.vocabulary(), keep_ids=True)
+    return coded.select("doc_id", "n_tokens", "ids", "decoded_sha256")
 
 
 STAGES = [

@@ -109,6 +109,31 @@ def test_stage_keeps_one_row_of_each_class(spark):
     assert sorted(r.doc_id for r in out.collect()) == [1, 2, 7]
 
 
+def test_stage_decides_null_ids_by_row(spark):
+    """A null id that is kept for one text does not keep all rows without id; a class of null ids keeps one text."""
+    like = " ".join(f"w{k}" for k in range(100))
+    docs = spark.createDataFrame([(5, "A b c d e f"), (None, "a b c d e f"), (None, "quite another text here"), (None, None), (None, ""),
+                                  (None, like), (None, like + " x"), (None, like.upper()), (8, like.replace("w5 ", "v5 ") + " y z"), (8, "w q")],
+                                 "doc_id long, text string")
+    out = sorted(((r.doc_id, r.text) for r in H.keep_representatives(docs).collect()), key=str)
+    assert set(out) == {(5, "A b c d e f"), (8, like.replace("w5 ", "v5 ") + " y z"), (8, "w q"), (None, ""), (None, None), (None, "quite another text here")}
+    assert len(out) == 6
+    nulls = docs.filter("doc_id IS NULL AND lower(text) LIKE 'w0%'")
+    assert nulls.count() == 3 and H.keep_representatives(nulls).count() == 1
+
+
+def test_words_in_thue_morse_order_are_told_apart(spark):
+    x, y = ("".join(s[k.bit_count() & 1] for k in range(1024)) for s in ("ab", "ba"))
+    docs = spark.createDataFrame([(1, f"{x} b c d e f"), (2, f"{y} b c d e f"), (3, f"{x} b c d e f")], "doc_id long, text string")
+    assert sorted((r.id, r.component_id) for r in H.near_duplicates(docs, bands=H.arrange(1, 1)[:8]).collect()) == [(1, 1), (2, 2), (3, 1)]
+
+
+def test_very_long_text_and_clashing_names(spark):
+    long = " ".join(f"w{k % 7919}" for k in range(200_000))
+    docs = spark.createDataFrame([(1, long, 3, 4, "r"), (2, long + " end", 3, 4, "r"), (3, "short", 3, 4, "r")], "doc_id long, text string, sid int, tag int, regs string")
+    assert sorted((r.id, r.component_id) for r in H.near_duplicates(docs).collect()) == [(1, 1), (2, 1), (3, 3)]
+
+
 def test_estimate_is_close_to_the_true_similarity():
     rng = np.random.default_rng(1)
     for share in (0.0, 0.3, 0.75, 0.95):

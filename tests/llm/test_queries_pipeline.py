@@ -39,7 +39,7 @@ def test_query_against_its_sql(spark, duck, name):
 
 def test_every_operator_has_one_query_and_all_are_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(Q.queries()) | {"pipeline"} <= set(E.queries())
 
 
@@ -86,3 +86,20 @@ def test_pipeline_stages(spark):
 def test_run_applies_all_stages(spark):
     out = E.queries()["pipeline"](spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"] and out.count() > 50
+
+
+def test_stages_take_null_ids_repeated_rows_and_any_column_names(spark):
+    found = Q.quality.keep_good(Q.table(spark, SF, "documents")).orderBy("doc_id").limit(30).collect()
+    rows = [(*r, "x", 2) for r in found]
+    rows += [(None, found[0].text, "en", None, 1, None, 3), (None, None, None, None, None, None, None), (9, "", "en", "s1", 0, "", 4), rows[1], rows[1]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, `we``ird kept` int")
+    empty = docs.limit(0)
+    for name, stage in C.STAGES:
+        docs, empty = (C.cut(stage(spark, x, SF)) for x in (docs, empty))
+        assert empty.collect() == []
+        if name != "encode":
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "a.b", "we`ird kept"]
+        if name == "near_duplicates":
+            held = [(r.doc_id, r.text) for r in docs.collect()]
+            assert len(held) == len(set(held)) > 10 and (None, found[0].text) not in held
+    assert docs.count() > 10

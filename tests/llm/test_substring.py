@@ -165,3 +165,22 @@ def test_stage_keeps_the_table_shape(spark):
     assert rows[3].text == "" and rows[3].lang is None
     renamed = docs.withColumn("row", F.lit(7)).withColumn("id", F.lit(8)).withColumn("tag", F.lit("t"))
     assert S.remove_repeats(renamed).filter("row = 7 AND id = 8 AND tag = 't'").count() == 3
+
+
+def test_words_and_passages_in_thue_morse_order_are_told_apart(spark):
+    order = [k.bit_count() & 1 for k in range(1024)]
+    x, y = ("".join(s[k] for k in order) for s in ("ab", "ba"))
+    rest = " ".join(f"w{k}" for k in range(19))
+    rows = [(1, f"{x} {rest}"), (2, f"{y} {rest}"), (3, " ".join(("p", "q")[k] for k in order)), (4, " ".join(("q", "p")[k] for k in order))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in S.dedup_substrings(docs).collect()}
+    seen, want = set(), {}
+    for i, t in rows:
+        words, gone = t.split(), set()
+        for k in range(len(words) - 19):
+            w = tuple(words[k:k + 20])
+            if w in seen:
+                gone.update(range(k, k + 20))
+            seen.add(w)
+        want[i] = len(gone)
+    assert got == want and got[2] == 0

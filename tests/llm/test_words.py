@@ -36,7 +36,7 @@ def test_equal_words_and_only_they_hash_alike(words):
 
 
 def test_long_words_and_many_chunks_hash_like_short_texts():
-    long = "q" * (W.LONG_WORD + 5)
+    long = "q" * 16_389
     text = ("ab cd " * 120_000) + long + " ab " + long + " cd"
     h = hashes(text)
     ab, cd = hashes("ab cd")
@@ -67,3 +67,13 @@ def test_text_bytes_of_sliced_and_null_columns():
     assert [r.tobytes().decode() for r in W.text_bytes(col)] == ["", "", "éx"]
     assert [r.tobytes() for r in W.text_bytes(pa.nulls(2))] == [b"", b""]
     assert [r.tobytes().decode() for r in W.text_bytes(col.cast(pa.large_string()))] == ["", "", "éx"]
+
+
+def thue_morse(n, symbols):
+    return [symbols[k.bit_count() & 1] for k in range(n)]
+
+
+def test_thue_morse_words_and_sequences_hash_apart():
+    for n in (1024, 2048, 4096, 8192):
+        x, y = ("".join(thue_morse(n, s)) for s in ("ab", "ba"))
+        assert len(set(hashes(f"{x} {y}").tolist())) == 2

@@ -45,8 +45,10 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracknet.llm import words as W
 from tracknet.plans.iterate import cut
@@ -144,17 +146,6 @@ def repeated_windows(segments: Iterable[tuple], least: int = WINDOW) -> Iterator
         yield automaton.earlier_ends(symbols, start, least)[least - 1:]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _POW, _INV
-    if len(_POW) < n:
-        size = max(n, 2 * len(_POW))
-        _POW, _INV = W._powers(W._Q, size), W._powers(pow(W._Q, -1, 1 << 64), size)
-    return _POW, _INV
-
-
-_POW, _INV = W._powers(W._Q, 1 << 14), W._powers(pow(W._Q, -1, 1 << 64), 1 << 14)
-
-
 def segments_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Anchor, first window, number of windows, content hash of each segment of
     a text's word hashes, and whether the text repeats one of its windows."""
@@ -164,11 +155,8 @@ def segments_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     anchor = W.sliding_min(W.windows(h, ANCHOR), SPAN)
     start = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
     n = np.diff(np.append(start, len(anchor)))
-    power, inverse = _powers(len(h) + 1)
-    total = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(h * power[:len(h)], out=total[1:])
-    size = n + WINDOW - 1
-    content = W.mix((total[start + size] - total[start]) * inverse[start] + size.astype(np.uint64))
+    words, size = memoryview(np.ascontiguousarray(h)), n + WINDOW - 1
+    content = np.array([xxhash.xxh3_64_intdigest(words[a:b]) for a, b in zip(start.tolist(), (start + size).tolist(), strict=True)], np.uint64)
     whole = W.windows(h, WINDOW)
     ordered = np.sort(whole)
     twice = ordered[1:][ordered[1:] == ordered[:-1]]
@@ -343,11 +331,15 @@ def remaining_text(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, kept:
     return b" ".join(out)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def with_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``(id, text, spans)`` of every row of ``docs``, and ``row``, a struct of the columns ``carry``."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"),
-                       *([F.struct(*carry).alias("row")] if carry else []))
+                       *([F.struct(*[F.col(_quoted(c)) for c in carry]).alias("row")] if carry else []))
     spans = cut(repeated_spans(rows.select("id", "tag", "text")))
     spans = spans.select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), "spans")
     return rows.join(spans, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")), "left").drop("tag", "_id", "_tag")
@@ -390,7 +382,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                     texts.append((remaining_text(raw, *cut_out) if gone else raw.tobytes()).decode())
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
-    out = spanned.mapInArrow(run, f"row {spanned.schema['row'].dataType.simpleString()}, text string")
+    out = spanned.mapInArrow(run, T.StructType([spanned.schema["row"], T.StructField("text", T.StringType())]))
     new = {text_col: F.col("text")}
     if length_col in carry:
         new[length_col] = F.length("text").cast(docs.schema[length_col].dataType)

@@ -2,9 +2,12 @@
 
 A word is a maximal run of bytes other than space and ``\\t \\n \\v \\f \\r``
 (``[^\\x20\\x09-\\x0D]+``; the separators are ASCII, so they never fall inside
-a UTF-8 character). Words are hashed to 64 bits with numpy, a whole text per
-call instead of a Python step per word; word sequences are hashed from the
-word hashes. Memory per text: about two bytes per byte and 24 bytes per word.
+a UTF-8 character). Words are hashed to 64 bits with XXH3, one by one; short
+word sequences are hashed from the word hashes with numpy. (Sums of powers
+modulo 2^64 over whole words or long sequences are not used: sequences of two
+symbols in Thue-Morse order, and the same with the symbols exchanged, meet there
+for any base from 1,024 symbols on.) Memory per text: about two bytes per byte
+and 24 bytes per word.
 """
 
 from __future__ import annotations
@@ -16,29 +19,16 @@ import pyarrow as pa
 import xxhash
 
 U64 = np.uint64
-#: Bytes hashed in one numpy call, and the length from which a single word is hashed alone.
-CHUNK = 1 << 18
-LONG_WORD = 1 << 14
+#: Words that are held as objects at a time.
+HELD = 1 << 16
 
 _SEP = np.zeros(256, bool)
 _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE = np.random.default_rng(20240917).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-_P = 0x9E3779B97F4A7C15
 _Q = 0xD6E8FEB86659FD93
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
-
-
-_POW = _powers(_P, CHUNK + LONG_WORD + 1)
-_INV = _powers(pow(_P, -1, 1 << 64), CHUNK + LONG_WORD + 1)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values whose bits all depend on all input bits."""
     x = x ^ (x >> U64(30))
@@ -82,34 +72,17 @@ def word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash per word: equal words, equal hashes, wherever they stand."""
-    n = len(starts)
-    out = np.empty(n, np.uint64)
-    if not n:
-        return out
-    size = ends - starts
-    i = 0
-    while i < n:
-        if size[i] > LONG_WORD:
-            out[i] = xxhash.xxh64_intdigest(raw[starts[i]:ends[i]].tobytes())
-            i += 1
-            continue
-        # as many whole words as fit in one chunk, up to the next long word
-        j = int(np.searchsorted(ends, starts[i] + CHUNK, "right"))
-        long = np.flatnonzero(size[i:j] > LONG_WORD)
-        j = max(i + 1, i + int(long[0]) if long.size else j)
-        at = int(starts[i])
-        part = raw[at:ends[j - 1]]
-        total = np.zeros(part.size + 1, np.uint64)
-        np.cumsum(_BYTE[part] * _POW[:part.size], out=total[1:])
-        s, e = starts[i:j] - at, ends[i:j] - at
-        out[i:j] = mix((total[e] - total[s]) * _INV[s] + size[i:j].astype(np.uint64))
-        i = j
+    """The XXH3 hash of each word: equal words, equal hashes, wherever they stand."""
+    out = np.empty(len(starts), np.uint64)
+    for i in range(0, len(starts), HELD):
+        j = min(i + HELD, len(starts))
+        words = raw[starts[i]:ends[j - 1]].tobytes().split()     # bytes are split at the same six separators
+        out[i:j] = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, j - i)
     return out
 
 
 def windows(h: np.ndarray, k: int) -> np.ndarray:
-    """A hash for each run of ``k`` words (none if there are fewer)."""
+    """A hash for each run of ``k`` words (none if there are fewer); for some dozen words at most."""
     n = len(h) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)

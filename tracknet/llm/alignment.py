@@ -60,6 +60,7 @@ from tracknet.plans.iterate import cut, rows
 CHUNK = 1 << 16
 FAN = 64
 BLOCK = 8 << 20
+BLOCKS_A_TASK = 4
 #: Words, and id pairs of words, that a worker keeps; beyond it starts a new table after the block.
 KEEP_WORDS = 400_000
 KEEP_PAIRS = 8_000_000
@@ -601,7 +602,10 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, *, id_col: str =
     ranges = text.filter(is_long).select("id", F.monotonically_increasing_id().alias("key"), "text") \
         .mapInArrow(_ranges(chunk), f"id {simple}, key bigint, at bigint, text string, low bigint, high bigint").repartition("key", "at")
     schema = T.StructType([T.StructField("id", kind) if f.name == "id" else f for f in _MADE])
-    made, n = cut(short.unionByName(ranges).mapInArrow(_align(path_a, path_b, keep_groups, block), schema), parts=F.count(F.when(F.col("kind") == "part", 1)))
+    made, n = cut(short.unionByName(ranges).mapInArrow(_align(path_a, path_b, keep_groups, block), schema), parts=F.count(F.when(F.col("kind") == "part", 1)),
+                  blocks=F.count(F.when(F.col("kind") == "block", 1)))
+    # a task scores a few blocks, however many there are
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n["blocks"] // BLOCKS_A_TASK))
 
     zipped = F.posexplode(F.arrays_zip("codes", "docs")).alias("pos", "x")
     listed = made.filter("kind = 'block'").select("block", zipped).select("block", "pos", F.col("x.codes").alias("code"), F.col("x.docs").alias("docs"))
@@ -623,7 +627,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, *, id_col: str =
     answers = listed.join(ranked, "code", "left").select("block", F.col("pos").cast("bigint").alias("pos"), F.coalesce("n", F.lit(0).cast("bigint")).alias("n"),
                                                         F.coalesce("best", F.lit(False)).alias("best"), *[F.lit(None).cast(schema[c].dataType).alias(c) for c in of_docs])
     asked = made.filter("kind <> 'block'").select("block", none.alias("pos"), none.alias("n"), F.lit(None).cast("boolean").alias("best"), *of_docs)
-    ordered = answers.unionByName(asked).repartition("block").sortWithinPartitions("block", F.col("pos").asc_nulls_last())
+    ordered = answers.unionByName(asked).repartition(tasks, "block").sortWithinPartitions("block", F.col("pos").asc_nulls_last())
     sums = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     scored = ordered.mapInArrow(_score, f"kind string, id {simple}, key bigint, at bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
                                         "sha string, groups string, n_best bigint, count_sum bigint")

@@ -211,6 +211,47 @@ def test_a_repeated_batch_adds_nothing(spark, tiny, tiny_dir):
         start_ingest(spark, *args, checkpoint="")
 
 
+STATION_FILES = ["1,Ash,1,1,1,A\n2,Box,1,1,1,B\n", "3,Cob,1,1,2,C\n2,Box,1,1,3,B\n", "4,Box,1,1,1,D\n5,Elm,1,1,1,E\n", "1,Asp,1,1,1,A\n,Nokey,1,1,1,X\n"]
+LINE_FILES = ["Red,Ash,Box\nRed,Cob,Elm\n", "Blue,Box,Elm\n,Box,Cob\nBlue,Asp,Box\n", "Red,Gone,Ash\nRed,Elm,Elm\nRed,Cob,Elm\n"]
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_any_order_of_files_gives_the_batch_graph_and_replay_adds_nothing(spark, seed):
+    import random
+
+    from tracknet.operators.model import build_graph, clean_connections, clean_stations, upsert_nodes
+    from tracknet.sources.csv import read_connections, read_stations
+    from tracknet.streaming.landing import StreamedGraph, start_graph_ingest
+
+    root = tempfile.mkdtemp(prefix="tracknet-stream-")
+    files = [("stations", STATION_HEAD, t) for t in STATION_FILES] + [("lines", LINE_HEAD, t) for t in LINE_FILES]
+    random.Random(seed).shuffle(files)
+    for d in ("stations", "lines"):
+        os.makedirs(f"{root}/{d}")
+    args = [f"{root}/{d}" for d in ("stations", "lines", "graph")]
+
+    def seen():
+        g = StreamedGraph(spark, args[2]).graph()
+        return [sorted(map(str, (tuple(r) for r in df.collect()))) for df in (g.nodes, g.relationships, g.quarantine)]
+
+    for k, (folder, head, text) in enumerate(files):      # a batch or two for each pair of files
+        with open(f"{root}/{folder}/{k}.csv", "w") as f:
+            f.write(head + text)
+        if k % 2 or k == len(files) - 1:
+            start_graph_ingest(spark, *args, checkpoint=f"{root}/ckpt", max_files=1).awaitTermination(120)
+    all_nodes = clean_stations(read_stations(spark, args[0]))
+    g = build_graph(all_nodes, clean_connections(read_connections(spark, args[1])))
+    nodes = upsert_nodes(g.nodes.limit(0), g.nodes)
+    g = build_graph(nodes.drop("label"), clean_connections(read_connections(spark, args[1])))
+    want = [sorted(map(str, (tuple(r) for r in df.collect()))) for df in (g.nodes, g.relationships, g.quarantine)]
+    assert seen() == want and len(want[1]) > 8 and len(want[2]) >= 2
+    # a replay of all batches from the start, and a restart without new files
+    start_graph_ingest(spark, *args, checkpoint=f"{root}/again", max_files=1).awaitTermination(120)
+    assert seen() == want
+    start_graph_ingest(spark, *args, checkpoint=f"{root}/again").awaitTermination(120)
+    assert seen() == want
+
+
 def test_no_python_udf_in_plans(spark, tiny):
     from tracknet.operators import aggregates as A
     from tracknet.operators import lookup as L

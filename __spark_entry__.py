@@ -580,17 +580,25 @@ adj AS (
 WALK_CAP = 16
 
 
+def _fails(condition: str, of: str) -> str:
+    """A filter that raises where the unrolled SQL ends before its walk does."""
+    return f"(SELECT CASE WHEN {condition} THEN error('the walk is longer than this SQL') ELSE TRUE END FROM {of})"
+
+
 def _walk_ctes(sources_sql: str, cap: int = WALK_CAP) -> str:
     """Distances by a recursive walk with set semantics: a (source, station,
     length) row exists for every walk length up to ``cap``; the distance is
-    the smallest length."""
+    the smallest length. An unbounded walk that reaches something new with its
+    last step raises."""
+    end = f" WHERE {_fails(f'max(hops) >= {cap}', 'reached')}" if cap == WALK_CAP else ""
     return f""",
 srcs AS ({sources_sql}),
 walk(s, v, h) AS (
   SELECT station_id, station_id, 0 FROM srcs
   UNION
   SELECT w.s, x.b, w.h + 1 FROM walk w JOIN adj x ON x.a = w.v WHERE w.h < {cap}),
-dist AS (SELECT s, v, min(h) AS hops FROM walk GROUP BY s, v)
+reached AS MATERIALIZED (SELECT s, v, min(h) AS hops FROM walk GROUP BY s, v),
+dist AS (SELECT s, v, hops FROM reached{end})
 """
 
 
@@ -683,8 +691,10 @@ lwalk(rel_type, component, v, h) AS (
   UNION
   SELECT w.rel_type, w.component, x.b, w.h + 1 FROM lwalk w
   JOIN ladj x ON x.rel_type = w.rel_type AND x.a = w.v WHERE w.h < {WALK_CAP * 4})
-SELECT w.rel_type, w.component, w.v AS station_id, n.name, min(w.h) AS stop
-FROM lwalk w JOIN nodes n ON n.station_id = w.v GROUP BY w.rel_type, w.component, w.v, n.name""")
+,
+stops AS MATERIALIZED (SELECT rel_type, component, v, min(h) AS stop FROM lwalk GROUP BY rel_type, component, v)
+SELECT w.rel_type, w.component, w.v AS station_id, n.name, w.stop
+FROM stops w JOIN nodes n ON n.station_id = w.v WHERE {_fails(f'max(stop) >= {WALK_CAP * 4}', 'stops')}""")
     pr = ["""ids AS (SELECT DISTINCT station_id FROM nodes),
 outd AS (SELECT src_id, count(*) AS o FROM relationships GROUP BY src_id),
 pe AS (
@@ -735,7 +745,8 @@ l0 AS MATERIALIZED (SELECT station_id AS s, station_id AS v, CAST(1.0 AS DOUBLE)
     union = " UNION ALL ".join(f"SELECT v, delta FROM d{k}" for k in range(1, levels + 1))
     parts.append(f"""bc AS (SELECT v, sum(delta) AS total FROM ({union}) u GROUP BY v)
 SELECT n.station_id, round(coalesce(bc.total, 0.0) / 2.0, 6) AS betweenness
-FROM (SELECT DISTINCT station_id FROM nodes) n LEFT JOIN bc ON bc.v = n.station_id""")
+FROM (SELECT DISTINCT station_id FROM nodes) n LEFT JOIN bc ON bc.v = n.station_id
+WHERE {_fails('count(*) > 0', f'l{levels}')}""")
     return parts[0] + ",\n" + ",\n".join(parts[1:-1]) + ",\n" + parts[-1]
 
 

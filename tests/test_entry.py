@@ -64,3 +64,19 @@ def test_stored_layout_joins_without_exchange_and_prunes_lines(spark):
     lines = spark.createDataFrame([("FEEDER",), ("5_AND_LOW",)], "rel_type string").filter("rel_type LIKE 'F%'")
     plan = stored.relationships.join(lines, "rel_type")._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
+
+
+def test_sql_that_ends_before_its_walk_raises():
+    import duckdb
+    import pytest
+
+    con = duckdb.connect()
+    for t in ["customer", "nation", "orders"]:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{E.SMOKE_DIR}/{t}.parquet')")
+    whole = E._wr(E.ADJ_CTES + E._walk_ctes(E.HUB_SQL) + "SELECT max(hops) FROM dist")
+    deepest = con.execute(whole).fetchone()[0]
+    assert 2 < deepest < E.WALK_CAP
+    short = whole.replace(f"w.h < {E.WALK_CAP}", "w.h < 2").replace(f">= {E.WALK_CAP}", ">= 2")
+    for sql in (short, E._w(E._brandes_sql(2))):
+        with pytest.raises(duckdb.Error, match="longer than this SQL"):
+            con.execute(sql).fetchall()

@@ -198,7 +198,9 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
     """``(page_id, url, record_type, refers_to, payload_digest, payload_bytes,
     payload)`` of every record of the bundles in the index, read frame by
     frame; a revisit's payload is null. Each record must stand where the index says."""
-    bundles = index.groupBy("bundle").agg(F.collect_list(F.struct("frame", "at", "length", "page_id")).alias("places"))
+    # a task for each bundle: the index's rows are small, the bundles behind them are not
+    tasks = max(1, index.select("bundle").distinct().count())
+    bundles = index.groupBy("bundle").agg(F.collect_list(F.struct("frame", "at", "length", "page_id")).alias("places")).repartition(tasks, "bundle")
 
     def number(urn: str | None) -> int | None:
         found = re.fullmatch(r"<urn:x-page:(-?\d+)>", urn or "")

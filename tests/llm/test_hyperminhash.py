@@ -134,6 +134,26 @@ def test_very_long_text_and_clashing_names(spark):
     assert sorted((r.id, r.component_id) for r in H.near_duplicates(docs).collect()) == [(1, 1), (2, 1), (3, 3)]
 
 
+def test_intersections_at_once_are_those_one_by_one(monkeypatch):
+    rng = random.Random(8)
+    sets = [frozenset((rng.randrange(40), 1) for _ in range(rng.randint(0, 30))) for _ in range(30)]
+    monkeypatch.setattr(H, "SHINGLES_AT_ONCE", 7)
+    assert H.common_counts(sets[:12], sets[12:]).tolist() == [[len(a & b) for b in sets[12:]] for a in sets[:12]]
+    # both ways of a block give the same links
+    base = [f"w{k}" for k in range(60)]
+    group = []
+    for k in range(60):
+        text = " ".join(edit(rng, base, rng.randint(0, 9)))
+        with np.errstate(over="ignore"):
+            s = W.shingles(np.frombuffer(text.encode(), np.uint8), H.SHINGLE)
+        group.append({"sid": k, "n_shingles": len(s), "regs": H.registers(s).tobytes(), "root": k, "text": text, "left": k < 30})
+    got = []
+    for few in (0, 10**6):
+        monkeypatch.setattr(H, "FEW_PAIRS", few)
+        got.append(sorted(H._links_between((0, True, 0, 0), group)))
+    assert got[0] == got[1] and got[0]
+
+
 def test_estimate_is_close_to_the_true_similarity():
     rng = np.random.default_rng(1)
     for share in (0.0, 0.3, 0.75, 0.95):

@@ -52,6 +52,9 @@ ARRANGEMENTS = 4
 MARGIN = 5.0
 #: Sets in a block that is compared with another one in a task.
 BLOCK = 256
+#: With more likely pairs for each set of two blocks, all intersections are counted at once.
+FEW_PAIRS = 8
+SHINGLES_AT_ONCE = 8192
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -257,19 +260,47 @@ def _links_between(key: tuple, group: list[dict]) -> list[tuple[int, int]]:
             known[x["sid"]] = shingle_words(np.frombuffer(x["text"].encode(), np.uint8))
         return known[x["sid"]]
 
-    out = []
-    for p, x in enumerate(left):
+    likely = []
+    for p in range(len(left)):
         n = size[0][p]
         # sizes and components first: they are cheap and exact
         at = np.flatnonzero((np.minimum(n, size[1]) * THRESHOLD[1] >= np.maximum(n, size[1]) * THRESHOLD[0]) & (root[0][p] != root[1]))
         if right is left:
             at = at[at > p]
-        if not at.size:
-            continue
-        got, used = estimate(np.broadcast_to(regs[0][p], (len(at), BUCKETS)), regs[1][at], np.full(len(at), n), size[1][at])
-        for q in at[got + MARGIN * np.sqrt(want * (1 - want) / np.maximum(used, 1)) >= want]:
-            if alike(full(x), full(right[q])):
-                out.append((min(x["sid"], right[q]["sid"]), max(x["sid"], right[q]["sid"])))
+        if at.size:
+            got, used = estimate(np.broadcast_to(regs[0][p], (len(at), BUCKETS)), regs[1][at], np.full(len(at), n), size[1][at])
+            at = at[got + MARGIN * np.sqrt(want * (1 - want) / np.maximum(used, 1)) >= want]
+            likely.append(np.stack([np.full(len(at), p), at]))
+    pairs = np.concatenate(likely, axis=1) if likely else np.zeros((2, 0), np.int64)
+    if pairs.shape[1] <= FEW_PAIRS * (len(left) + len(right)):
+        linked = [k for k, (p, q) in enumerate(pairs.T.tolist()) if alike(full(left[p]), full(right[q]))]
+    else:
+        # many like texts: the sizes of all intersections at once
+        rows_l, at_l = np.unique(pairs[0], return_inverse=True)
+        rows_r, at_r = np.unique(pairs[1], return_inverse=True)
+        sets_l, sets_r = [full(left[p]) for p in rows_l.tolist()], [full(right[q]) for q in rows_r.tolist()]
+        common = common_counts(sets_l, sets_r)[at_l, at_r]
+        union = np.array([len(x) for x in sets_l])[at_l] + np.array([len(x) for x in sets_r])[at_r] - common
+        linked = np.flatnonzero((common > 0) & (common * THRESHOLD[1] >= union * THRESHOLD[0])).tolist()
+    ends = [(left[p]["sid"], right[q]["sid"]) for p, q in pairs[:, linked].T.tolist()]
+    return [(min(a, b), max(a, b)) for a, b in ends]
+
+
+def common_counts(left: list[frozenset], right: list[frozenset]) -> np.ndarray:
+    """The size of every intersection of a left and a right set: products of
+    their incidence matrices, some thousand shingles at a time."""
+    number: dict[tuple, int] = {}
+    cols = [np.sort(np.fromiter((number.setdefault(x, len(number)) for x in s), np.int64, len(s))) for s in left]
+    also = [np.sort(np.array([number[x] for x in s if x in number], np.int64)) for s in right]
+    out = np.zeros((len(left), len(right)), np.int64)
+    for low in range(0, len(number), SHINGLES_AT_ONCE):
+        sides = []
+        for held in (cols, also):
+            block = np.zeros((len(held), SHINGLES_AT_ONCE), np.float32)
+            for k, c in enumerate(held):
+                block[k, c[np.searchsorted(c, low):np.searchsorted(c, low + SHINGLES_AT_ONCE)] - low] = 1
+            sides.append(block)
+        out += np.rint(sides[0] @ sides[1].T).astype(np.int64)
     return out
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tracknet.llm import hyperminhash as H
 from tracknet.llm import words as W
-from tracknet.llm.components import components
+from tracknet.llm.components import components, join_classes
+from tracknet.plans.iterate import cut
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -179,15 +180,46 @@ def test_registers_hold_zeros_and_mantissa():
     assert not H.registers(np.zeros(0, np.uint64)).any()
 
 
+def lowest(edges):
+    low = {x: x for e in edges for x in e}
+    for _ in range(300):
+        for a, b in edges:
+            low[a] = low[b] = min(low[a], low[b])
+    return low
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed):
     rng = random.Random(seed)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
     edges = [(a, b) for a, b in edges if a != b]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    low = {x: x for e in edges for x in e}
-    for _ in range(300):
-        for a, b in edges:
-            low[a] = low[b] = min(low[a], low[b])
-    assert got == low
+    assert got == lowest(edges)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+    assert components(spark.createDataFrame([(5, 5)], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_classes_joined_by_later_links(spark, seed):
+    rng = random.Random(seed)
+    some = lambda n: [(a, b) for a, b in ((rng.randrange(-30, 60), rng.randrange(-30, 60)) for _ in range(n)) if a != b]
+    first, later = some(25), some(20) + [(-100, 200), (200, 3)]
+    frame = lambda e: spark.createDataFrame(e, "a long, b long")
+    found = components(frame(first))
+    assert {r.node: r.root for r in join_classes(found, frame(later)).collect()} == lowest(first + later)
+    assert {r.node: r.root for r in join_classes(found, frame([])).collect()} == lowest(first)
+
+
+def test_dense_class_is_read_once(spark, monkeypatch):
+    """All links of a dense class go after the first round, and a long chain takes few steps."""
+    from tracknet.llm import components as C
+
+    written = []
+    monkeypatch.setattr(C, "cut", lambda df, **m: written.append(1) or cut(df, **m))
+    dense = [(a, b) for a in range(60) for b in range(a + 1, 60)]
+    assert {r.root for r in components(spark.createDataFrame(dense, "a long, b long")).collect()} == {0}
+    assert len(written) <= 4
+    written.clear()
+    chain = spark.range(3000).selectExpr("id AS a", "id + 1 AS b")
+    assert components(chain).agg({"root": "max"}).first()[0] == 0
+    assert len(written) <= 18

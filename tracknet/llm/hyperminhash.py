@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracknet.llm import words as W
-from tracknet.llm.components import components
+from tracknet.llm.components import components, join_classes
 from tracknet.plans.iterate import cut, rows
 
 SHINGLE = 5
@@ -208,7 +208,7 @@ def link_sets(sets: DataFrame, text_of, bands: np.ndarray = BANDS) -> DataFrame:
     links = _links(shared.filter("sid <> first").select(F.col("first").alias("a"), F.col("sid").alias("b")).distinct(), texts)
     roots = components(links)
     fresh, found = cut(_compare_apart(shared, roots, texts), n=rows())
-    return components(cut(links.unionByName(fresh))) if found["n"] else roots
+    return join_classes(roots, fresh) if found["n"] else roots
 
 
 def _compare_apart(shared: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:

@@ -124,3 +124,21 @@ def test_branched_parts_and_loops_with_a_tail(spark):
     assert got == {5: (1, 0), 4: (1, 1), 3: (1, 2), 1: (1, 3), 2: (1, 3), 10: (10, 0), 11: (10, 1), 13: (10, 1), 12: (10, 2),
                    21: (20, 0), 20: (20, 1), 22: (20, 2), 23: (20, 2), 24: (20, 3), 30: (30, 0), 31: (30, 1), 32: (30, 1), 33: (30, 1),
                    40: (40, 0), 41: (40, 1), 42: (40, 2)}
+
+
+def test_sources_of_a_word_follow_an_edge_once(spark):
+    rng = random.Random(9)
+    edges = [(rng.randrange(150), rng.randrange(150)) for _ in range(260)] + [(0, k) for k in range(1, 150, 2)] + [(900, 901)]
+    edges = [(a, b) for a, b in edges if a != b]
+    ids = sorted({x for e in edges for x in e})
+    g = graph(spark, edges)
+    want = one_sided(edges, {(s, t) for s in ids for t in ids})
+    rows = P.reach_from(g, g.nodes.select("station_id"), None, True).collect()
+    assert {(r.src_id, r.dst_id): (r.hops, r.stations) for r in rows} == want and len(rows) == len(want)
+    rows = P.reach_from(g, g.nodes.select("station_id"), 2).collect()
+    assert {(r.src_id, r.dst_id): r.hops for r in rows} == {p: h for p, (h, _) in want.items() if h <= 2} and len(rows) < len(want)
+    # the first step: an offer for each edge, station and word, not for each source
+    dealt, words, n = P._words(g.nodes.selectExpr("station_id AS src_id"), [])
+    adj = P.adjacency(g.relationships)
+    everywhere = g.nodes.selectExpr("station_id AS node").crossJoin(words.select("word")).selectExpr("word", "node", "-1L AS mask")
+    assert n == -(-len(ids) // 64) and P.Sweep(adj, [], False, n).offers(everywhere).count() == n * adj.count()

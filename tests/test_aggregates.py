@@ -114,3 +114,21 @@ def test_name_search_takes_any_terms_and_a_stored_index(spark, tiny):
         assert sorted(tuple(r) for r in got.collect()) == want
     plan = L.name_search(tiny, frame)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_postings_of_a_gram_in_all_names_are_dealt_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from tracknet.operators import lookup as L
+    from tracknet.operators.model import GraphTables
+
+    nodes = spark.range(300).select(F.col("id").alias("station_id"), F.when(F.col("id") < 299, F.concat(F.lit("aa"), F.col("id") % 3)).alias("name"))
+    terms = spark.createDataFrame([("A",), ("",), ("a2",), ("aa1",), ("b",)], "term string")
+    found = L.name_search(GraphTables(nodes, None), terms)
+    names = [(i, f"aa{i % 3}") for i in range(299)]
+    assert sorted(tuple(r) for r in found.collect()) == sorted((t, i, n) for t in ["A", "", "a2", "aa1", "b"] for i, n in names if t.lower() in n)
+    # no posting list goes whole to one task: lists meet the asked grams where they are made, or are dealt by parts
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "_salt#" in plan
+    joins = [line for line in plan.splitlines() if "Join" in line and "gram#" in line]
+    assert joins and not any("SortMergeJoin" in line and "_salt#" not in line for line in joins)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracknet.operators.hot import SALTS, find_hot, salt_edges, salt_rows
 from tracknet.operators.model import GraphTables
+from tracknet.plans.iterate import cut
 
 
 def stations_in_zone(g: GraphTables, zone: int) -> DataFrame:
@@ -22,6 +24,7 @@ def stations_with(g: GraphTables, *, name: str | None = None, postcode: str | No
 
 
 GRAM = 3
+FINER = 16          # frequent grams are many: their lists are dealt in parts of a 16th of a task's share
 
 
 def _grams(text: Column, size: int) -> Column:
@@ -46,7 +49,9 @@ def name_search(g: GraphTables, terms: list[str] | DataFrame, index: DataFrame |
     A term meets the names under its rarest one (a term of fewer than three
     characters is a gram itself), by an equi-join, and each such pair is
     verified. ``index`` is a stored :func:`name_index`; without it the posting
-    lists are made on the way, of the asked grams only.
+    lists are made on the way, of the asked grams only. The list of a gram that
+    stands in a large share of the names is dealt over tasks by a hash of the
+    station, and its terms meet every part.
     """
     if isinstance(terms, list):
         if not terms:
@@ -55,11 +60,18 @@ def name_search(g: GraphTables, terms: list[str] | DataFrame, index: DataFrame |
     low = F.lower("term")
     of_term = F.when(F.length(low) < GRAM, F.array(low)).otherwise(_grams(low, GRAM))
     asked = terms.select("term").filter("term IS NOT NULL").distinct().select("term", F.explode(of_term).alias("gram"))
-    postings = (name_index(g.nodes) if index is None else index).join(asked.select("gram").distinct(), "gram", "left_semi")
-    counts = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("names"))
-    rarest = asked.join(counts, "gram", "left").groupBy("term").agg(F.min(F.struct(F.coalesce("names", F.lit(0)).alias("names"), "gram")).alias("_r")) \
-        .filter("_r.names > 0").select("term", "_r.gram")
-    return rarest.join(postings, "gram").filter(F.contains(F.lower("name"), F.lower("term"))).select("term", "station_id", "name")
+    if index is None:
+        # names are few bytes, their grams many: a small file of names is dealt over tasks first
+        index = name_index(cut(g.nodes.select("station_id", "name").repartition("station_id")))
+    # there are few distinct grams of at most three characters: the posting lists meet them where they are made
+    held = index.join(F.broadcast(asked.select("gram").distinct()), "gram", "left_semi")
+    counts = held.groupBy("gram").agg(F.count(F.lit(1)).alias("names"))
+    rarest = cut(asked.join(counts, "gram", "left").groupBy("term").agg(F.min(F.struct(F.coalesce("names", F.lit(0)).alias("names"), "gram")).alias("_r"))
+                 .filter("_r.names > 0").select("term", "_r.gram"))
+    postings = index.join(F.broadcast(rarest.select("gram").distinct()), "gram", "left_semi")
+    hot = find_hot(postings, "gram", finer=FINER)
+    postings = salt_edges(postings, hot, "gram", "station_id")
+    return salt_rows(rarest, hot, "gram").join(postings, ["gram", *SALTS]).filter(F.contains(F.lower("name"), F.lower("term"))).select("term", "station_id", "name")
 
 
 def station_lookup(g: GraphTables, names: DataFrame) -> DataFrame:

@@ -126,6 +126,27 @@ def test_branched_parts_and_loops_with_a_tail(spark):
                    40: (40, 0), 41: (40, 1), 42: (40, 2)}
 
 
+def test_branched_parts_are_not_ranked_by_doubling(spark):
+    edges = [(1, 2), (2, 3), (3, 4), (4, 1), (1, 3), (4, 5), (5, 6), (6, 7), (20, 21), (20, 22), (20, 23), (23, 24)]
+    rounds = []
+    got = {r.station_id: (r.component, r.stop) for r in P.trace_line(graph(spark, edges), rounds.append).collect()}
+    assert got == {7: (1, 0), 6: (1, 1), 5: (1, 2), 4: (1, 3), 1: (1, 4), 3: (1, 4), 2: (1, 5),
+                   21: (20, 0), 20: (20, 1), 22: (20, 2), 23: (20, 2), 24: (20, 3)}
+    assert not rounds
+
+
+def test_components_of_a_long_chain_take_few_rounds(spark, monkeypatch):
+    stops = list(range(3_000))
+    random.Random(5).shuffle(stops)
+    tables, plain = [], P.cut
+    monkeypatch.setattr(P, "cut", lambda *a, **k: tables.append(1) or plain(*a, **k))
+    adj = P.adjacency(graph(spark, list(zip(stops, stops[1:])) + [(5_000, 5_001)]).relationships, ["rel_type"])
+    got = {(r.rel_type, r.node): r.component for r in P.connected_components(adj, ["rel_type"]).collect()}
+    assert {c for (_, node), c in got.items() if node < 5_000} == {0} and len(got) == 3_002
+    assert got[next(iter(got))[0], 5_001] == 5_000
+    assert len(tables) <= 60
+
+
 def test_sources_of_a_word_follow_an_edge_once(spark):
     rng = random.Random(9)
     edges = [(rng.randrange(150), rng.randrange(150)) for _ in range(260)] + [(0, k) for k in range(1, 150, 2)] + [(900, 901)]

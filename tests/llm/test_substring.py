@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -184,3 +185,34 @@ def test_words_and_passages_in_thue_morse_order_are_told_apart(spark):
             seen.add(w)
         want[i] = len(gone)
     assert got == want and got[2] == 0
+
+
+def segments(texts, size, monkeypatch):
+    monkeypatch.setattr(S, "SLICE", size)
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()), pa.array(texts, pa.string())], ["id", "tag", "text"])
+    return [tuple(r.values()) for b in S._segments(iter([batch])) for r in b.to_pylist()], [a for b in S._anchors(iter([batch])) for a in b.column(0).to_pylist()]
+
+
+def test_segments_of_a_slice_are_those_of_each_text(monkeypatch):
+    texts = [None, "", *[t for _, t in corpus(7, 60)], "a b " * 300, " ".join(f"v{k}" for k in range(20)), "x " * 19]
+    rows, anchors = segments(texts, 1 << 20, monkeypatch)
+    assert (rows, anchors) == segments(texts, 1, monkeypatch)
+    # the windows of each text in order, each in one segment
+    seen = {}
+    for _, _, i, _, start, n, _ in rows:
+        assert start == seen.get(i, 0)
+        seen[i] = start + n
+    assert seen == {i: len(WORD.findall(t or "")) - S.WINDOW + 1 for i, t in enumerate(texts) if len(WORD.findall(t or "")) >= S.WINDOW}
+    # equal contents, equal words
+    words = lambda r: tuple(WORD.findall(texts[r[2]])[r[4]:r[4] + r[5] + S.WINDOW - 1])
+    assert len({(r[1], words(r)) for r in rows}) == len({r[1] for r in rows}) == len({words(r) for r in rows})
+    assert len(anchors) == sum(1 + r[6] for r in rows)
+
+
+def test_usual_words_and_segments_are_not_hashed_one_by_one(monkeypatch):
+    calls = []
+    digest = S.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(S.xxhash, "xxh3_64_intdigest", lambda x: calls.append(1) or digest(x))
+    rows, _ = segments([" ".join(f"w{i}x{k}" for k in range(400)) for i in range(20)], 1 << 20, monkeypatch)
+    assert len(rows) > 20 and len(calls) == 0

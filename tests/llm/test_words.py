@@ -77,3 +77,23 @@ def test_thue_morse_words_and_sequences_hash_apart():
     for n in (1024, 2048, 4096, 8192):
         x, y = ("".join(thue_morse(n, s)) for s in ("ab", "ba"))
         assert len(set(hashes(f"{x} {y}").tolist())) == 2
+
+
+@given(st.lists(st.one_of(st.none(), TEXT, st.lists(st.sampled_from(["a", "a\0", "\0", "abcdefgh", "abcdefgh\0", "abcdefghijklmnop", "abcdefghijklmnopq", "é" * 9, "x\0y"]),
+                                                    max_size=9).map(" ".join)), max_size=8))
+@settings(max_examples=200, deadline=None)
+def test_words_of_a_slice_are_those_of_its_texts(texts):
+    with np.errstate(over="ignore"):
+        h, edges = W.slice_hashes(pa.array(texts, pa.string()))
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    assert edges.tolist() == np.cumsum([0, *map(len, words)]).tolist()
+    flat = [w for ws in words for w in ws]
+    assert len(h) == len(flat)
+    assert len(set(zip(flat, h.tolist()))) == len(set(flat)) == len(set(h.tolist()))
+
+
+def test_slices_end_by_bytes_and_by_number():
+    texts = pa.array(["abcd", None, "", "abcdef", "ab", "ab", "ab", "ab"])
+    assert list(W.slices(texts, 6, 3)) == [(0, 3), (3, 4), (4, 7), (7, 8)]
+    assert list(W.slices(texts.slice(3), 1, 9)) == [(k, k + 1) for k in range(5)]
+    assert list(W.slices(texts.slice(0, 0), 1, 9)) == []

@@ -45,6 +45,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,10 @@ ANCHOR = 8
 SHARD_WORDS = 200_000
 #: 8-word runs in a window.
 SPAN = WINDOW - ANCHOR + 1
+#: Bytes of text that are hashed at a time (a longer text alone).
+SLICE = 1 << 20
+#: Words of which a segment's hash takes the first and the last; half the words of most segments or more.
+BLOCK = 16
 #: Segments of different words, or that many times the words of a longest usual
 #: one, that an anchor may have in a shard; with more, its windows are taken one by one.
 CROWD = 256
@@ -146,22 +151,42 @@ def repeated_windows(segments: Iterable[tuple], least: int = WINDOW) -> Iterator
         yield automaton.earlier_ends(symbols, start, least)[least - 1:]
 
 
-def segments_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first window, number of windows, content hash of each segment of
-    a text's word hashes, and whether the text repeats one of its windows."""
-    if len(h) < WINDOW:
+def segments_of(h: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, anchor, first window, number of windows, content hash of each
+    segment of several texts' word hashes, and whether the text repeats one of
+    its windows. A text's words stand from its edge to the next."""
+    size = np.diff(edges)
+    text = np.repeat(np.arange(len(size)), np.maximum(size - (WINDOW - 1), 0))
+    if not len(text):
         none = np.zeros(0, np.int64)
-        return none, none, none, none, none.astype(bool)
-    anchor = W.sliding_min(W.windows(h, ANCHOR), SPAN)
-    start = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-    n = np.diff(np.append(start, len(anchor)))
-    words, size = memoryview(np.ascontiguousarray(h)), n + WINDOW - 1
-    content = np.array([xxhash.xxh3_64_intdigest(words[a:b]) for a, b in zip(start.tolist(), (start + size).tolist(), strict=True)], np.uint64)
-    whole = W.windows(h, WINDOW)
+        return none, none, none, none, none, none.astype(bool)
+    # a window ends in its text: the last places of each text are no windows
+    place = np.arange(len(h) - WINDOW + 1)
+    inside = np.repeat(np.arange(len(size)), size)
+    place = place[inside[:len(place)] == inside[WINDOW - 1:]]
+    anchor = W.sliding_min(W.windows(h, ANCHOR), SPAN)[place]
+    first = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]))))
+    start, n = place[first], np.diff(np.append(first, len(place)))
+    content = run_hashes(h, start, n + WINDOW - 1)
+    # windows are told apart by text here; a chance equality only marks a segment in vain
+    whole = W.mix(W.windows(h, WINDOW)[place] + W.mix(text.astype(np.uint64)))
     ordered = np.sort(whole)
     twice = ordered[1:][ordered[1:] == ordered[:-1]]
-    again = np.logical_or.reduceat(np.isin(whole, twice), start) if twice.size else np.zeros(len(start), bool)
-    return anchor[start].view(np.int64), start, n, content.view(np.int64), again
+    again = np.logical_or.reduceat(np.isin(whole, twice), first) if twice.size else np.zeros(len(first), bool)
+    text = text[first]
+    return text, anchor[first].view(np.int64), start - edges[text], n, content.view(np.int64), again
+
+
+def run_hashes(h: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash for each run of ``size`` words, all of ``WINDOW`` words or more:
+    up to twice ``BLOCK`` words from its first and last ``BLOCK``, which hold
+    all of it, and its size; longer ones from the bytes of their word hashes."""
+    block = W.windows(h, BLOCK)
+    out = W.mix(block[start] + W.mix(block[start + size - BLOCK] + size.astype(np.uint64)))
+    words = memoryview(np.ascontiguousarray(h))
+    for k in np.flatnonzero(size > 2 * BLOCK).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(words[start[k]:start[k] + size[k]])
+    return out
 
 
 def _hashes(raw: np.ndarray) -> np.ndarray:
@@ -171,24 +196,19 @@ def _hashes(raw: np.ndarray) -> np.ndarray:
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                found = []
-                for raw in W.text_bytes(batch.column(2).slice(at, 512)):
-                    anchor, _, _, _, again = segments_of(_hashes(raw))
-                    # a segment may repeat a window within itself
-                    found.append(np.repeat(anchor, np.where(again, 2, 1)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["anchor"])
+            for at, upto in W.slices(batch.column(2), SLICE, 512):
+                _, anchor, _, _, _, again = segments_of(*W.slice_hashes(batch.column(2).slice(at, upto - at)))
+                # a segment may repeat a window within itself
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(anchor, np.where(again, 2, 1)))], ["anchor"])
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                found = [segments_of(_hashes(raw)) for raw in W.text_bytes(part.column(2))]
-                times = np.array([len(f[0]) for f in found])
-                row = pa.array(np.repeat(np.arange(len(found)), times))
-                anchor, start, n, content, again = (np.concatenate(x) for x in zip(*found, strict=True))
+            for at, upto in W.slices(batch.column(2), SLICE, 512):
+                part = batch.slice(at, upto - at)
+                text, anchor, start, n, content, again = segments_of(*W.slice_hashes(part.column(2)))
+                row = pa.array(text)
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(content), part.column(0).take(row), part.column(1).take(row),
                                                   pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(again)],
                                                  ["anchor", "content", "id", "tag", "start", "n", "again"])

@@ -2,12 +2,13 @@
 
 A word is a maximal run of bytes other than space and ``\\t \\n \\v \\f \\r``
 (``[^\\x20\\x09-\\x0D]+``; the separators are ASCII, so they never fall inside
-a UTF-8 character). Words are hashed to 64 bits with XXH3, one by one; short
-word sequences are hashed from the word hashes with numpy. (Sums of powers
-modulo 2^64 over whole words or long sequences are not used: sequences of two
-symbols in Thue-Morse order, and the same with the symbols exchanged, meet there
-for any base from 1,024 symbols on.) Memory per text: about two bytes per byte
-and 24 bytes per word.
+a UTF-8 character). Words are hashed to 64 bits with XXH3, one by one (in
+``slice_hashes`` those of 16 bytes and less by columns); short word sequences
+are hashed from the word hashes with numpy. (Sums of powers modulo 2^64 over
+whole words or long sequences are not used: sequences of two symbols in
+Thue-Morse order, and the same with the symbols exchanged, meet there for any
+base from 1,024 symbols on.) Memory per text: about two bytes per byte and 24
+bytes per word; ``slice_hashes`` about 5 bytes per byte and 80 per word.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 U64 = np.uint64
@@ -27,6 +29,8 @@ _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _Q = 0xD6E8FEB86659FD93
+#: Masks of the first 0 to 8 bytes.
+_UPTO = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,6 +60,17 @@ def text_bytes(column: pa.Array) -> Iterator[np.ndarray]:
         yield raw[at[i]:at[i + 1]] if valid[i] else raw[:0]
 
 
+def slices(texts: pa.Array, most_bytes: int, most: int) -> Iterator[tuple[int, int]]:
+    """Neighbouring texts ``(start, end)``, ``most`` of them at most, that end once they hold that many bytes."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(ends):
+        before = int(ends[start - 1]) if start else 0
+        upto = min(start + most, int(np.searchsorted(ends, before + most_bytes)) + 1, len(ends))
+        yield start, upto
+        start = upto
+
+
 def lower_ascii(raw: np.ndarray) -> np.ndarray:
     return _LOWER[raw]
 
@@ -81,6 +96,30 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return out
 
 
+def packed_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word by whole columns: words of 16 bytes and less are
+    mixed from their bytes as two numbers and their size (of one size up to 8
+    bytes, different words have different hashes), longer ones have their XXH3 hash."""
+    size = ends - starts
+    padded = np.concatenate((raw, np.zeros(16, np.uint8)))
+    eight = np.ndarray((len(raw) + 9,), "<u8", padded, strides=(1,))     # the 8 bytes from each byte on
+    low = eight[starts] & _UPTO[np.minimum(size, 8)]
+    high = eight[starts + 8] & _UPTO[np.clip(size - 8, 0, 8)]
+    out = mix(low + mix(high + size.astype(U64) * U64(_Q)))
+    for k in np.flatnonzero(size > 16).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(raw[starts[k]:ends[k]])
+    return out
+
+
+def slice_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The :func:`packed_hashes` of all words of several texts, one text after
+    the other, and at which of them each text begins (and the last ends)."""
+    texts = list(text_bytes(column))
+    raw = np.frombuffer(b" ".join(texts), np.uint8)
+    starts, ends = word_spans(raw)
+    return packed_hashes(raw, starts, ends), np.searchsorted(starts, np.cumsum([0, *(t.size + 1 for t in texts)]))
+
+
 def windows(h: np.ndarray, k: int) -> np.ndarray:
     """A hash for each run of ``k`` words (none if there are fewer); for some dozen words at most."""
     n = len(h) - k + 1

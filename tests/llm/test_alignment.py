@@ -2,8 +2,10 @@ import hashlib
 import random
 from collections import Counter
 from functools import lru_cache
+from types import SimpleNamespace
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -158,3 +160,30 @@ def test_query_and_empty_table(spark, coders, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert sorted(tuple(r) for r in Q.op11_alignment(spark, str(tmp_path)).collect()) == sorted(contract(coders, rows))
     assert A.align_documents(spark.createDataFrame([], "doc_id string, text string"), *PATHS).collect() == []
+
+
+def test_table_of_words_stays_small_within_a_block(monkeypatch):
+    texts = [" ".join(f"q{i}w{k}" for k in range(10)) for i in range(900)] + [None, "q1w1 q2w2"]
+    none = pa.nulls(len(texts), pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), none, none, pa.array(texts, pa.string()), none, none],
+                                       ["id", "key", "at", "text", "low", "high"])
+    monkeypatch.setattr(A, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+
+    def made(keep):
+        monkeypatch.setattr(A, "KEEP_WORDS", keep)
+        A.load(*PATHS).words = A.Words()
+        largest, add = [0], A.Words.add
+
+        def counted(self, *a, **k):
+            add(self, *a, **k)
+            largest[0] = max(largest[0], len(self.groups))
+
+        with monkeypatch.context() as m:
+            m.setattr(A.Words, "add", counted)
+            got = [r for b in A._align(*PATHS, False, A.BLOCK)(iter([batch])) for r in b.to_pylist()]
+        assert sum(r["kind"] == "block" for r in got) == 1
+        return got, largest[0]
+
+    got, largest = made(500)
+    assert largest <= 500 + A.SLICE_DOCUMENTS * 10
+    assert made(10**6) == (got, 9000)

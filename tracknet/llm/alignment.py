@@ -33,8 +33,8 @@ Defined results: null or empty texts, and texts that either tokenizer does not
 give back byte by byte, have no tokens: zeros and no groups. Special tokens'
 strings are plain text. Repeated rows are documents of their own. Null ids are
 kept, extra columns are not read, an empty table gives no rows. A document's
-words are held in memory while it is cut; everything else is bounded by
-``CHUNK`` and ``BLOCK``, and by the longest group.
+words are held in memory while it is cut; everything else is bounded by ``SLICE``,
+``CHUNK``, ``BLOCK`` and ``KEEP_WORDS``, and by the longest group.
 """
 
 from __future__ import annotations
@@ -54,16 +54,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from tracknet.llm import words as W
 from tracknet.llm.bpe import byte_characters
 from tracknet.plans.iterate import cut, rows
 
 CHUNK = 1 << 16
 FAN = 64
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 BLOCKS_A_TASK = 4
-#: Words, and id pairs of words, that a worker keeps; beyond it starts a new table after the block.
-KEEP_WORDS = 400_000
-KEEP_PAIRS = 8_000_000
+#: Bytes of text and documents whose words are looked up at a time.
+SLICE = 1 << 20
+SLICE_DOCUMENTS = 256
+#: Words, and id pairs of words, that a worker keeps; beyond it starts a new table before the next slice.
+KEEP_WORDS = 100_000
+KEEP_PAIRS = 2_000_000
 #: New words tokenized in one call; longer ones than that many characters are taken one by one.
 JOINED = 2_000
 LONGEST_JOINED = 1_000
@@ -406,12 +410,12 @@ def _align(path_a: str, path_b: str, keep_groups: bool, block_bytes: int):
                 yield pa.RecordBatch.from_pylist(held[k:k + 512], schema=names)
             number += 1
             held, size = [], 0
-            aligner.forget()
 
         for batch in batches:
             names = _arrow(_MADE, batch.schema.field("id").type)
-            for start in range(0, len(batch), 256):
-                part = batch.slice(start, 256).to_pylist()
+            for start, upto in W.slices(batch.column("text"), SLICE, SLICE_DOCUMENTS):
+                aligner.forget()
+                part = batch.slice(start, upto - start).to_pylist()
                 made, texts = [], []
                 for r in part:
                     words = split_words(r["text"]) if r["text"] else []
